@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .secret_scans import op10_secret_scans
 from .token_counts import op6_token_counts
+from .url_filters import OP9_SQL, op9_url_filters
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_token_counts": op6_token_counts}
+    return {
+        "op6_token_counts": op6_token_counts,
+        "op9_url_filters": op9_url_filters,
+        "op10_secret_scans": op10_secret_scans,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_url_filters": OP9_SQL}

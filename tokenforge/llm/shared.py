@@ -48,6 +48,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of ``edges(src, dst)`` as ``(id, component)`` with the smallest id of each component.
 
+    Ids may be of any type with an order.
+
     Every node points at the neighbour (or itself) that comes first in a hashed order; edges are rewritten to
     those targets and the loops fall away, until no edge is left.  The hashed order contracts long paths by a
     constant factor a round, a star in one.  All steps are joins and partially aggregated groupings; rounds are
@@ -55,7 +57,7 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """
     spark = edges.sparkSession
     e, path = stored(
-        edges.select(F.col("src").cast("long").alias("u"), F.col("dst").cast("long").alias("v"))
+        edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))
         .where("u is not null and v is not null and u <> v")
         .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         .distinct(),
@@ -87,7 +89,7 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
             dropped(spark, old)
         e, path, labels, lpath = e2, path2, labels2, lpath2
     if labels is None:
-        return spark.createDataFrame([], "id long, component long")
+        return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
     least = labels.groupBy("root").agg(F.min("id").alias("component"))
     return labels.join(least, "root").select("id", "component")
 
