@@ -6,18 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import op3_decontamination
 from .secret_scans import op10_secret_scans
 from .token_counts import op6_token_counts
 from .url_filters import OP9_SQL, op9_url_filters
+from .warc import OP7_SQL, op7_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_decontamination": op3_decontamination,
         "op6_token_counts": op6_token_counts,
+        "op7_warc": op7_warc,
         "op9_url_filters": op9_url_filters,
         "op10_secret_scans": op10_secret_scans,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_url_filters": OP9_SQL}
+    return {"op7_warc": OP7_SQL, "op9_url_filters": OP9_SQL}
