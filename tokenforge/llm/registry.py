@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op3_decontamination
+from .quality import op5_quality
 from .secret_scans import op10_secret_scans
 from .token_counts import op6_token_counts
 from .url_filters import OP9_SQL, op9_url_filters
@@ -16,6 +17,7 @@ from .warc import OP7_SQL, op7_warc
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_decontamination": op3_decontamination,
+        "op5_quality": op5_quality,
         "op6_token_counts": op6_token_counts,
         "op7_warc": op7_warc,
         "op9_url_filters": op9_url_filters,
