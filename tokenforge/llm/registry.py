@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op3_decontamination
+from .embedding_dedup import OP8_SQL, op8_embedding_dedup
 from .quality import op5_quality
 from .secret_scans import op10_secret_scans
 from .token_counts import op6_token_counts
@@ -20,10 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality": op5_quality,
         "op6_token_counts": op6_token_counts,
         "op7_warc": op7_warc,
+        "op8_embedding_dedup": op8_embedding_dedup,
         "op9_url_filters": op9_url_filters,
         "op10_secret_scans": op10_secret_scans,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_warc": OP7_SQL, "op9_url_filters": OP9_SQL}
+    return {"op7_warc": OP7_SQL, "op8_embedding_dedup": OP8_SQL, "op9_url_filters": OP9_SQL}
