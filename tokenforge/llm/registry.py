@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op3_decontamination
 from .embedding_dedup import OP8_SQL, op8_embedding_dedup
+from .ngram_join import op4_ngram_join
 from .quality import op5_quality
 from .secret_scans import op10_secret_scans
 from .token_counts import op6_token_counts
@@ -18,6 +19,7 @@ from .warc import OP7_SQL, op7_warc
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_decontamination": op3_decontamination,
+        "op4_ngram_join": op4_ngram_join,
         "op5_quality": op5_quality,
         "op6_token_counts": op6_token_counts,
         "op7_warc": op7_warc,
