@@ -11,6 +11,7 @@ from .embedding_dedup import OP8_SQL, op8_embedding_dedup
 from .ngram_join import op4_ngram_join
 from .quality import op5_quality
 from .secret_scans import op10_secret_scans
+from .substring_dedup import op1_substring_dedup
 from .token_counts import op6_token_counts
 from .url_filters import OP9_SQL, op9_url_filters
 from .warc import OP7_SQL, op7_warc
@@ -18,6 +19,7 @@ from .warc import OP7_SQL, op7_warc
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op3_decontamination": op3_decontamination,
         "op4_ngram_join": op4_ngram_join,
         "op5_quality": op5_quality,
