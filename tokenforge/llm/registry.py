@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op3_decontamination
 from .embedding_dedup import OP8_SQL, op8_embedding_dedup
+from .mixing import op2_mixing
 from .ngram_join import op4_ngram_join
 from .quality import op5_quality
 from .secret_scans import op10_secret_scans
@@ -20,6 +21,7 @@ from .warc import OP7_SQL, op7_warc
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_mixing": op2_mixing,
         "op3_decontamination": op3_decontamination,
         "op4_ngram_join": op4_ngram_join,
         "op5_quality": op5_quality,
