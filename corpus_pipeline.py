@@ -1,15 +1,66 @@
-"""The corpus pipeline: stages that each take and return documents."""
+"""The corpus pipeline: documents go through five stages, each calling one operator of ``tokenforge.llm``.
+
+Stages take and return the columns of ``documents``; the last returns what is sampled: a row for each document with a
+rate above 0, its tokens, domain posteriors and rate.  SQL cannot express the classifiers, so there is no oracle;
+tests compare the stages with brute force.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tokenforge.llm.decontamination import decontaminated
+from tokenforge.llm.mixing import label_domains, mixed
+from tokenforge.llm.ngram_join import distinct_documents
+from tokenforge.llm.quality import fit
+from tokenforge.llm.secret_scans import redacted
+from tokenforge.llm.shared import stored, table
+
+#: Documents below this probability of good quality go.
+LEAST_QUALITY = 0.5
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents that the classifier finds as likely good as not."""
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return model.scored(docs, "_score").where(F.col("_score") >= LEAST_QUALITY).drop("_score")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies: five words, a Jaccard similarity of 0.8 or more."""
+    return distinct_documents(docs, n=5, percent=80)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove passages of benchmark items, and documents that are mostly such passages."""
+    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets in texts."""
+    return redacted(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rates at which the documents meet the target weights; documents of rate 0 go."""
+    rates = mixed(docs.select("doc_id", "lang", "source", "text"), label_domains(table(spark, sf_dir, "labels")))
+    return rates.where("rate > 0")
+
 
-STAGES: list = []
+STAGES = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", benchmark_passages),
+    ("secret scans", secrets),
+    ("mixing sources to target weights", mixing),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over ``documents``; each one's output is stored and reread as the next one's input."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs, _ = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
