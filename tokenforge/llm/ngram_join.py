@@ -3,7 +3,8 @@
 The global order of word n-grams is the order of their 64-bit hashes.  Documents with equal sets form a class, named by
 the set's digest.  What can have a link is found without pairs: two sets with Jaccard t or more share at least l of the
 first n - ceil(t n) + l n-grams in the global order, so a class survives only if enough of its first n-grams occur in
-another class.  N-grams that repeat within a batch are known to be shared there; only two of their rows go to the
+another class.  Of those, each leaves out as many of the most frequent as a partner must share beyond one, which keeps
+passages that many documents hold from tying them together.  N-grams that repeat within a batch are known to be shared there; only two of their rows go to the
 common group and the rest are salted, so that a frequent n-gram is dealt to many tasks.
 
 Survivors that share first n-grams and have sizes in reach of each other form blocks.  A block, or a pair of tiles of at
@@ -342,19 +343,23 @@ def ngram_join(docs: DataFrame, n: int = 4, percent: int = 85, tile: int = TILE)
     kept, _ = stored(first.withColumn("shared", shared).where("shared").select("token", "digest", "doc_id", "n", "flag"), "ngram-first")
     rows = kept.where("flag = -1").select("doc_id", "digest", "n")
     classes = rows.where("digest is not null").groupBy("digest").agg(F.max("n").alias("n"), F.min("doc_id").alias("least"))
-    tokens = kept.where("flag <> -1").select("token", "digest")
-    # n-grams that two batches know of are there once for each
-    usage = tokens.groupBy("digest", "token").agg(F.lit(1).alias("one")).groupBy("digest").agg(F.count("*").alias("used"))
-    other = F.ceil(F.col("n") * F.lit(percent) / 100)
-    survivors, _ = stored(
-        classes.join(usage, "digest").where(F.col("used") >= F.greatest(F.lit(1), F.floor(other / 16))).select("digest", "n"), "ngram-survivors"
-    )
+    # n-grams that several batches know of are there once for each
+    tokens = kept.where("flag <> -1").select("token", "digest").repartition("digest").dropDuplicates(["digest", "token"])
+    # a partner shares at least so many of the first n-grams
+    least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * F.lit(percent) / 100) / 16))
+    used = F.count("*").over(Window.partitionBy("digest"))
+    own = tokens.withColumn("used", used).join(classes.select("digest", "n"), "digest").where(F.col("used") >= least)
+    own, _ = stored(own.select("token", "digest", "n"), "ngram-survivors")
+    # so the rarest that a pair shares is not among the last least - 1 of either in the order of their frequency
+    often = own.groupBy("token").agg(F.count("*").alias("often"))
+    place = F.row_number().over(Window.partitionBy("digest").orderBy(F.desc("often"), F.desc("token")))
+    telling = own.join(often, "token").withColumn("place", place).where(F.col("place") >= least)
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(percent / 100)) + F.lit(1e-9)).cast("int")
-    reach = tokens.join(survivors, "digest").select("token", "digest", F.explode(F.array(band, band + 1)).alias("band"))
+    reach = telling.select("token", "digest", F.explode(F.array(band, band + 1)).alias("band"))
     leader = F.min("digest").over(Window.partitionBy("token", "band"))
     edges = reach.withColumn("leader", leader).where("digest <> leader").select(F.col("digest").alias("src"), F.col("leader").alias("dst")).distinct()
     blocks = components(edges, "ngram-blocks").withColumnsRenamed({"id": "digest", "component": "block"})
-    live, _ = stored(survivors.join(blocks, "digest"), "ngram-live")
+    live, _ = stored(classes.select("digest", "n").join(blocks, "digest"), "ngram-live")
     shared_bits = spark.sparkContext.broadcast(_filter(live, live.count()))
     sets = docs.select("text").mapInArrow(_sets(n, shared_bits), "digest long, grams binary").dropDuplicates(["digest"])
     sets, _ = stored(sets, "ngram-sets")
@@ -375,10 +380,15 @@ def ngram_join(docs: DataFrame, n: int = 4, percent: int = 85, tile: int = TILE)
 
 
 def distinct_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id."""
+    """``docs`` with one document of each component: the one with the smallest doc_id, once.
+
+    Rows without a doc_id cannot be named and all stay.
+    """
     best = ngram_join(docs, n, percent)
-    keep = best.where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")
+    keep, _ = stored(best.where("doc_id = component_id").select("doc_id").distinct(), "ngram-kept")
+    named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
+    once = named.withColumn("_same", F.xxhash64("text")).dropDuplicates(["doc_id", "_same"]).select(*docs.columns)
+    return once.unionByName(docs.where("doc_id is null"))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
