@@ -213,7 +213,7 @@ _STRINGS_SCHEMA = pa.schema([("h", pa.int64()), ("sub", pa.int64()), ("t", pa.in
 def _strings(shared, width: int):
     """Contexts of grams in the filter, each once a batch, and pieces of those of hot grams.
 
-    A row without text is an interval that the batch has settled already.
+    A row without text is a stretch that the batch has settled already, from all equal pieces of a text joined.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,6 +224,7 @@ def _strings(shared, width: int):
             seen: set[tuple[int, int]] = set()
             pieces: dict[tuple[int, int, bytes], tuple | None] = {}
             rows: list[tuple] = []
+            settled: dict[int, list[tuple[int, int]]] = {}
             for h, c, t, lo, hi, at, text, base in _contexts(column, digests, first, width):
                 for i in np.flatnonzero(wanted.has(h)):
                     x, y = int(h[i]), int(c[i])
@@ -242,10 +243,10 @@ def _strings(shared, width: int):
                                 pieces[key] = (int(t[i]), s, int(at[i]) - s, e)
                                 continue
                             if old is not None:  # the first of equal pieces is settled with the second
-                                rows.append((x, old[0], old[0], old[1], 0, old[3], None))
+                                settled.setdefault(old[0], []).append((old[1], old[3]))
                                 rows.append((key[0], key[1], old[0], old[1], old[2], old[3], raw))
                                 pieces[key] = None
-                            rows.append((x, int(t[i]), int(t[i]), s, 0, e, None))
+                            settled.setdefault(int(t[i]), []).append((s, e))
                     elif (x, y) not in seen:
                         seen.add((x, y))
                         rows.append((x, 0, int(t[i]), int(lo[i]), int(at[i] - lo[i]), int(hi[i]) + width, text[base[i] + lo[i] : base[i] + hi[i] + width].tobytes()))
@@ -253,6 +254,7 @@ def _strings(shared, width: int):
                     yield pa.RecordBatch.from_pydict(dict(zip(_STRINGS_SCHEMA.names, zip(*rows, strict=True), strict=True)), schema=_STRINGS_SCHEMA)
                     rows = []
             rows += [(x, sub, *v, raw) for (x, sub, raw), v in pieces.items() if v is not None]
+            rows += [(k, k, k, s, 0, e, None) for k, spans in settled.items() for s, e in merged(spans)]
             for s in range(0, len(rows), 20_000):
                 yield pa.RecordBatch.from_pydict(dict(zip(_STRINGS_SCHEMA.names, zip(*rows[s : s + 20_000], strict=True), strict=True)), schema=_STRINGS_SCHEMA)
 
