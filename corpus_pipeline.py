@@ -44,7 +44,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rates at which the documents meet the target weights; documents of rate 0 go."""
-    rates = mixed(docs.select("doc_id", "lang", "source", "text"), label_domains(table(spark, sf_dir, "labels")))
+    rates = mixed(docs, label_domains(table(spark, sf_dir, "labels")), keep=("lang", "source"))
     return rates.where("rate > 0")
 
 

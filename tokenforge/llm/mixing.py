@@ -12,7 +12,7 @@ what is broadcast.  Token counts and totals cover all documents.
 Defined cases: null and empty texts have no tokens and take the domains' posteriors by shape alone; labels of unknown
 domains and null ones are ignored; a domain without labelled rows has posterior 0, and the other targets share its part;
 without any label all posteriors are 0 and rates stay 1; repeated rows each get a row; an empty table gives an empty
-result; other columns are kept by :func:`mixed`.
+result; columns that are not asked for are ignored.
 """
 
 from __future__ import annotations
@@ -25,13 +25,15 @@ from pyspark.sql import functions as F
 from .shared import stored, table
 
 #: Domains of the label table and their shares of the mixture's tokens.
-TARGETS = {"high": 0.98, "low": 0.01, "toxic": 0.01}
+TARGETS = {"high": 0.97, "low": 0.01, "toxic": 0.02}
 MOST, VOCABULARY = 6000, 1024
 #: Letters of a word that are a feature.
 BEGIN = 5
 #: Evidence is scaled down, as words of one document are not independent.
 TEMPER = 0.5
 STEPS, CLOSE = 60, 1e-4
+#: Features below this log-likelihood gain are left out as chance.
+SURE = 25.0
 _BINS = 10
 
 
@@ -51,8 +53,10 @@ def features(docs: DataFrame) -> DataFrame:
     return spoken.withColumn("features", F.concat("_begins", F.array(F.concat(F.lit("#repeats "), share.cast("int"))))).drop("_words", "_begins")
 
 
-def vocabulary(docs: DataFrame, labels: DataFrame, domains: list[str], most: int = MOST, size: int = VOCABULARY) -> tuple[DataFrame, list[float]]:
-    """``(word, w_0, w_1, ...)``, the evidence of a feature for each domain, and the domains' shares of labelled rows."""
+def vocabulary(
+    docs: DataFrame, labels: DataFrame, domains: list[str], most: int = MOST, size: int = VOCABULARY
+) -> tuple[DataFrame, list[float | None]]:
+    """``(word, w_0, w_1, ...)``, the evidence of a feature for each domain, and each domain's evidence without any."""
     spark = docs.sparkSession
     chosen = (
         labels.where(F.col("domain").isin(domains) & F.col("doc_id").isNotNull())
@@ -75,26 +79,31 @@ def vocabulary(docs: DataFrame, labels: DataFrame, domains: list[str], most: int
     evidence, value = [], F.lit(0.0)
     for k, d in enumerate(domains):
         own = each.get(d, 0)
-        w = F.log((F.col(f"n_{k}") + everywhere) / (own + 1.0) / everywhere)
-        evidence.append(w.alias(f"w_{k}"))
-        value = F.greatest(value, F.col(f"n_{k}") / max(own, 1) * F.abs(w))
-    scored = counts.select("word", *evidence, F.when(F.startswith("word", F.lit("#repeats ")), 1e9).otherwise(value).alias("value"), "n")
-    best = scored.where("n >= 3 or value >= 1e9").orderBy(F.desc("value"), "word").limit(size).drop("value", "n")
-    return stored(best, "mixing-words")[0], shares
-
-
-def posteriors(docs: DataFrame, words: DataFrame, shares: list[float]) -> DataFrame:
+        p = F.least(F.lit(0.999), (F.col(f"n_{k}") + everywhere) / (own + 1.0))
+        evidence += [F.log(p / (1 - p)).alias(f"w_{k}"), F.log(1 - p).alias(f"v_{k}")]
+        # twice the log-likelihood gain of knowing the domain
+        value = F.greatest(value, 2 * F.col(f"n_{k}") * F.log(p / everywhere))
+    repeats = F.startswith("word", F.lit("#repeats "))
+    scored = counts.select("word", *evidence, F.when(repeats, 1e12).otherwise(value).alias("value"))
+    best = scored.where(F.col("value") >= SURE).orderBy(F.desc("value"), "word").limit(size).drop("value")
+    best, _ = stored(best, "mixing-words")
+    missing = best.agg(*(F.sum(f"v_{k}").alias(f"v_{k}") for k in range(len(domains)))).collect()[0]
+    bases = [TEMPER * missing[f"v_{k}"] + math.log(p) if p else None for k, p in enumerate(shares)]
+    return best.drop(*(f"v_{k}" for k in range(len(domains)))), bases
+
+
+def posteriors(docs: DataFrame, words: DataFrame, bases: list[float | None]) -> DataFrame:
     """``docs`` without ``text``, with ``n_tokens`` and ``p_0, p_1, ...``; a pre-aggregated row for each row of ``docs``."""
     kept = [c for c in docs.columns if c != "text"]
     spoken = features(docs.withColumn("_row", F.monotonically_increasing_id()))
     lines = spoken.select("_row", "n_tokens", *(F.col(c).alias(f"_{i}") for i, c in enumerate(kept)), F.explode("features").alias("word"))
-    sums = [F.sum(f"w_{k}").alias(f"s_{k}") for k in range(len(shares))]
+    sums = [F.sum(f"w_{k}").alias(f"s_{k}") for k in range(len(bases))]
     carried = [F.first(F.col(f"_{i}")).alias(f"_{i}") for i in range(len(kept))]
     one = lines.join(F.broadcast(words), "word").groupBy("_row").agg(F.first("n_tokens").alias("n_tokens"), *carried, *sums)
-    logits = [F.lit(math.log(p)) + TEMPER * F.col(f"s_{k}") if p else None for k, p in enumerate(shares)]
+    logits = [None if b is None else F.lit(b) + TEMPER * F.col(f"s_{k}") for k, b in enumerate(bases)]
     live = [x for x in logits if x is not None]
     if not live:
-        ps = [F.lit(0.0) for _ in shares]
+        ps = [F.lit(0.0) for _ in bases]
     else:
         top = F.greatest(*live) if len(live) > 1 else live[0]
         bottom = sum((F.exp(x - top) for x in live), F.lit(0.0))
@@ -113,6 +122,20 @@ def fitted_rate(ps: list[Column], steps: list[list[float]]) -> Column:
     return F.aggregate(F.array(*(F.array(*map(F.lit, c)) for c in steps)), F.lit(1.0), step)
 
 
+def _inverse(m: list[list[float]]) -> list[list[float]]:
+    """The inverse of a small positive definite matrix."""
+    k = len(m)
+    rows = [[*r, *(float(i == j) for j in range(k))] for i, r in enumerate(m)]
+    for c in range(k):
+        at = max(range(c, k), key=lambda r: abs(rows[r][c]))
+        rows[c], rows[at] = rows[at], rows[c]
+        rows[c] = [x / rows[c][c] for x in rows[c]]
+        for r in range(k):
+            if r != c:
+                rows[r] = [x - rows[r][c] * y for x, y in zip(rows[r], rows[c], strict=True)]
+    return [r[k:] for r in rows]
+
+
 def fit_rates(soft: DataFrame, targets: list[float], budget: float | None = None) -> list[list[float]]:
     """The steps of projected gradient on ``soft(n_tokens, p_0, ...)``."""
     k = len(targets)
@@ -125,29 +148,32 @@ def fit_rates(soft: DataFrame, targets: list[float], budget: float | None = None
     if not total or not sum(reach):
         return []
     want = [t / sum(reach) * total for t in reach]
-    weight = [1 / g[i][i] if g[i][i] > 0 else 0.0 for i in range(k)]
-    # the largest eigenvalue of the weighted Gram matrix is at most its largest row sum
-    largest = max(sum(abs(g[i][j]) * math.sqrt(weight[i] * weight[j]) for j in range(k)) for i in range(k))
+    # errors are weighed by the inverse of the Gram matrix, which makes the steepest curvature 1
+    ridge = 1e-9 * sum(g[i][i] for i in range(k))
+    weight = _inverse([[g[i][j] + ridge * (i == j) for j in range(k)] for i in range(k)])
     steps: list[list[float]] = []
     for _ in range(STEPS):
         r = fitted_rate(ps, steps)
         # the rate once, then the sums
         got = soft.select("n_tokens", *ps, r.alias("r")).agg(*(F.sum(n * F.col(f"p_{i}") * F.col("r")).alias(f"a_{i}") for i in range(k))).collect()[0]
         off = [(got[f"a_{i}"] or 0.0) - want[i] for i in range(k)]
-        if max(abs(x) for i, x in enumerate(off) if weight[i]) <= CLOSE * total:
+        if max(map(abs, off)) <= CLOSE * total:
             break
-        steps.append([weight[i] * off[i] / largest for i in range(k)])
+        steps.append([sum(weight[i][j] * off[j] for j in range(k)) for i in range(k)])
     return steps
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, budget: float | None = None) -> DataFrame:
-    """``docs`` without ``text``, with ``n_tokens``, the posteriors ``p_<domain>`` and ``rate``.
+def mixed(
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, budget: float | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id``, the columns ``keep``, ``n_tokens``, the posteriors ``p_<domain>`` and ``rate`` of every row of ``docs``.
 
     ``labels(doc_id, domain)`` is the labelled table.  ``budget``: tokens of the mixture, by default as many as there are.
     """
     domains = sorted(targets)
-    words, shares = vocabulary(docs, labels, domains)
-    soft, _ = stored(posteriors(docs, words, shares), "mixing-soft")
+    docs = docs.select("doc_id", *keep, "text")
+    words, bases = vocabulary(docs, labels, domains)
+    soft, _ = stored(posteriors(docs, words, bases), "mixing-soft")
     steps = fit_rates(soft, [targets[d] for d in domains], budget)
     rate = fitted_rate([F.col(f"p_{k}") for k in range(len(domains))], steps)
     return soft.withColumn("rate", rate).withColumnsRenamed({f"p_{k}": f"p_{d}" for k, d in enumerate(domains)})
@@ -160,5 +186,4 @@ def label_domains(labels: DataFrame) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixed(docs, label_domains(table(spark, sf_dir, "labels")))
+    return mixed(table(spark, sf_dir, "documents"), label_domains(table(spark, sf_dir, "labels")), keep=("source",))
