@@ -86,11 +86,19 @@ def sink(df: DataFrame, spec: E.Endpoint) -> int | None:
 Transform = Callable[[DataFrame], tuple[DataFrame, DataFrame | None]]
 
 
-def run(spark: SparkSession, inputs: list[E.Endpoint], transform: Transform, outputs: list[E.Endpoint], missing: str = "error") -> Metrics:
+def run(
+    spark: SparkSession,
+    inputs: list[E.Endpoint],
+    transform: Transform,
+    outputs: list[E.Endpoint],
+    missing: str = "error",
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> Metrics:
     """Union the sources, transform, and write to every sink.
 
     Without inputs nothing happens; without outputs the inputs are counted and not transformed.  With several sinks the
-    transformed rows are stored once and read by each.
+    transformed rows are stored once and read by each; ``finish`` (a numbering, say, that reads its input more than once)
+    is applied to the stored rows.
     """
     out, began = Metrics(), time.monotonic()
     if not inputs:
@@ -105,6 +113,8 @@ def run(spark: SparkSession, inputs: list[E.Endpoint], transform: Transform, out
     table, path = stored(good, "pipeline")
     out.read, out.sent = reading.get["n"], table.count()
     out.rejected = bad.count() if bad is not None else 0
+    if finish is not None:
+        table = finish(table)
     for spec in outputs:
         prime = sink(table, spec)
         if prime is not None:
