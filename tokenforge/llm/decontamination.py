@@ -316,3 +316,23 @@ def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, cove
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP3_SQL = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+k as (select distinct item_id, g, len(g) as m from (
+  select item_id, unnest(case when len(w) >= 10 then list_transform(range(1, len(w) - 8), lambda i: w[i:i + 9]) when len(w) > 0 then [w] else [] end) as g from b)),
+m as (select distinct m from k),
+p as (select doc_id, m, i, w[i:i + m - 1] as g from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) as i from d, m)),
+h as (select p.doc_id, p.i, p.m, k.item_id from p join k on p.g = k.g),
+n as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + m)) as j from h) group by doc_id),
+t as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as s from (select distinct doc_id, item_id::varchar as item_id from h) group by doc_id)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(n.n_hit, 0)::bigint as n_hit, coalesce(t.n_items, 0)::bigint as n_items,
+  sha256(coalesce(t.s, '')) as items_sha256, coalesce(n.n_hit, 0) > 0 as contaminated
+from d left join n using (doc_id) left join t using (doc_id)
+"""

@@ -30,14 +30,12 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .embedding_dedup import forest
-from .shared import components, stored, table, whole_groups
+from .shared import components, made_filter, stored, table, whole_groups
 
 #: Classes of a tile at most, about.
 TILE = 512
 #: Vertical fragments of a unit of work.
 FRAGMENTS = 4
-#: Bits of the filter of survivors at most.
-MOST_BITS = 1 << 29
 _TURN = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -130,42 +128,11 @@ def _first(n: int, percent: int):
     return run
 
 
-def _bits(count: int) -> int:
-    return min(MOST_BITS, 1 << max(16, (count * 12).bit_length()))
-
-
-def _places(digests: np.ndarray, bits: int) -> list[np.ndarray]:
-    h = tk.mix(digests.view(np.uint64) + np.uint64(0x1F83D9AB))
-    return [((h >> np.uint64(s)) & np.uint64(bits - 1)).astype(np.int64) for s in (0, 17, 34)]
-
-
-def _filter(survivors: DataFrame, count: int) -> tuple[int, np.ndarray]:
-    """A Bloom filter of the survivors' digests, of a bounded size whatever their number."""
-    import zlib
-
-    bits = _bits(count)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(bits, np.uint8)
-        some = False
-        for b in batches:
-            some |= b.num_rows > 0
-            for at in _places(b.column("digest").to_numpy(zero_copy_only=False), bits):
-                own[at] = 1
-        if some:
-            yield pa.RecordBatch.from_pydict({"f": [zlib.compress(np.packbits(own).tobytes(), 1)]}, schema=pa.schema([("f", pa.binary())]))
-
-    out = np.zeros(bits // 8, np.uint8)
-    for r in survivors.select("digest").coalesce(8).mapInArrow(run, "f binary").toLocalIterator():
-        out |= np.frombuffer(zlib.decompress(r["f"]), np.uint8)
-    return bits, out
-
-
 def _sets(n: int, shared):
     """Sets of classes in the filter, as bytes, once for each batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, packed = shared.value
+        wanted = shared.value
         for b in batches:
             seen: set[int] = set()
             digests, raw, size = [], [], 0
@@ -175,7 +142,7 @@ def _sets(n: int, shared):
                 d = set_digest(s)
                 if d in seen:
                     continue
-                if all(packed[at[0] >> 3] >> (7 - (at[0] & 7)) & 1 for at in _places(np.array([d], np.int64), bits)):
+                if wanted.has(np.array([d], np.int64))[0]:
                     seen.add(d)
                     digests.append(d)
                     raw.append(s.tobytes())
@@ -360,8 +327,8 @@ def ngram_join(docs: DataFrame, n: int = 4, percent: int = 85, tile: int = TILE)
     edges = reach.withColumn("leader", leader).where("digest <> leader").select(F.col("digest").alias("src"), F.col("leader").alias("dst")).distinct()
     blocks = components(edges, "ngram-blocks").withColumnsRenamed({"id": "digest", "component": "block"})
     live, _ = stored(classes.select("digest", "n").join(blocks, "digest"), "ngram-live")
-    shared_bits = spark.sparkContext.broadcast(_filter(live, live.count()))
-    sets = docs.select("text").mapInArrow(_sets(n, shared_bits), "digest long, grams binary").dropDuplicates(["digest"])
+    wanted = spark.sparkContext.broadcast(made_filter(live, "digest", live.count()))
+    sets = docs.select("text").mapInArrow(_sets(n, wanted), "digest long, grams binary").dropDuplicates(["digest"])
     sets, _ = stored(sets, "ngram-sets")
     work = _units(live, percent, tile).join(sets, "digest").select("unit", "side", "digest", "n", "grams")
     pieces = work.mapInArrow(_fragments, "unit string, side int, digest long, n int, fragment int, grams binary")
@@ -393,3 +360,19 @@ def distinct_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
+
+
+OP4_SQL = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (select distinct doc_id, g from (
+  select doc_id, unnest(case when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) when len(w) > 0 then [w] else [] end) as g from d)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+o as (select a.doc_id as x, b.doc_id as y, count(*) as o from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+l as (select x, y from o join n a on a.doc_id = x join n b on b.doc_id = y where 100 * o >= 85 * (a.n + b.n - o)),
+r(x, y) as (select x, y from l union select r.x, l.y from r join l on r.y = l.x),
+c as (select x, least(x, min(y)) as component_id from r group by x)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(c.component_id, d.doc_id)::bigint as component_id
+from d left join n on n.doc_id = d.doc_id left join c on c.x = d.doc_id
+"""

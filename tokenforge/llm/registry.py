@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .decontamination import op3_decontamination
+from .decontamination import OP3_SQL, op3_decontamination
 from .embedding_dedup import OP8_SQL, op8_embedding_dedup
 from .mixing import op2_mixing
-from .ngram_join import op4_ngram_join
+from .ngram_join import OP4_SQL, op4_ngram_join
 from .quality import op5_quality
 from .secret_scans import op10_secret_scans
-from .substring_dedup import op1_substring_dedup
+from .substring_dedup import OP1_SQL, op1_substring_dedup
 from .token_counts import op6_token_counts
 from .url_filters import OP9_SQL, op9_url_filters
 from .warc import OP7_SQL, op7_warc
@@ -34,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_warc": OP7_SQL, "op8_embedding_dedup": OP8_SQL, "op9_url_filters": OP9_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op3_decontamination": OP3_SQL, "op4_ngram_join": OP4_SQL, "op7_warc": OP7_SQL, "op8_embedding_dedup": OP8_SQL, "op9_url_filters": OP9_SQL}

@@ -1,48 +1,22 @@
-"""Shared storage, lineage cuts and grouping helpers of the llm operators."""
+"""Components and grouping helpers of the llm operators, beside the library's shared storage."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import dropped, fresh_path, shared_dir, stored, table
+from .textkit import mix
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
+#: Bits of a filter at most: 64 MB.
+MOST_BITS = 1 << 29
 
-    Only where that setting is absent (tests, one machine) is a local folder made and set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tokenforge-shared-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write ``df`` as Parquet to the shared folder and read it back: a lineage cut that survives lost executors."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def dropped(spark: SparkSession, path: str) -> None:
-    """Delete a table that :func:`stored` wrote and that no later plan reads."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["Filter", "components", "dropped", "fresh_path", "made_filter", "shared_dir", "stored", "table", "whole_groups"]
 
 
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
@@ -118,3 +92,42 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], most_rows:
         held = [b.slice(lo)]
     if held:
         yield pa.Table.from_batches(held)
+
+
+class Filter:
+    """A Bloom filter of 64-bit values.  Its size is bounded whatever their number; a full one lets more through."""
+
+    def __init__(self, count: int) -> None:
+        self.bits = min(MOST_BITS, 1 << max(16, (count * 12).bit_length()))
+        self.packed = np.zeros(self.bits // 8, np.uint8)
+
+    def places(self, x: np.ndarray) -> list[np.ndarray]:
+        h = mix(x.view(np.uint64) + np.uint64(0x1F83D9AB))
+        return [((h >> np.uint64(s)) & np.uint64(self.bits - 1)).astype(np.int64) for s in (0, 17, 34)]
+
+    def add(self, x: np.ndarray) -> None:
+        for at in self.places(x):
+            np.bitwise_or.at(self.packed, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+
+    def has(self, x: np.ndarray) -> np.ndarray:
+        out = np.ones(len(x), bool)
+        for at in self.places(x):
+            out &= (self.packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+        return out
+
+
+def made_filter(values: DataFrame, column: str, count: int) -> Filter:
+    """The filter of a column of longs; tasks return compressed filters that are joined one after the other."""
+    out = Filter(count)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, some = Filter(count), False
+        for b in batches:
+            some |= b.num_rows > 0
+            own.add(b.column(0).to_numpy(zero_copy_only=False))
+        if some:
+            yield pa.RecordBatch.from_pydict({"f": [zlib.compress(own.packed.tobytes(), 1)]}, schema=pa.schema([("f", pa.binary())]))
+
+    for r in values.select(column).coalesce(8).mapInArrow(run, "f binary").toLocalIterator():
+        out.packed |= np.frombuffer(zlib.decompress(r["f"]), np.uint8)
+    return out

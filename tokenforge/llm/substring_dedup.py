@@ -35,13 +35,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .shared import stored, table, whole_groups
+from .shared import made_filter, stored, table, whole_groups
 
 WIDTH, GRAM = 200, 64
 #: Grams with more contexts are cut into pieces of PIECE windows; at most HOT_MOST of them, the most frequent ones.
 HOT, HOT_MOST, PIECE = 4096, 1 << 20, 8
-#: Bits of a filter at most.
-MOST_BITS = 1 << 29
 _TURN = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -166,46 +164,6 @@ def _first(width: int):
     return run
 
 
-class Filter:
-    """A Bloom filter of 64-bit values, of a bounded size whatever their number."""
-
-    def __init__(self, count: int) -> None:
-        self.bits = min(MOST_BITS, 1 << max(16, (count * 12).bit_length()))
-        self.packed = np.zeros(self.bits // 8, np.uint8)
-
-    def places(self, x: np.ndarray) -> list[np.ndarray]:
-        h = tk.mix(x.view(np.uint64) + np.uint64(0x1F83D9AB))
-        return [((h >> np.uint64(s)) & np.uint64(self.bits - 1)).astype(np.int64) for s in (0, 17, 34)]
-
-    def has(self, x: np.ndarray) -> np.ndarray:
-        out = np.ones(len(x), bool)
-        for at in self.places(x):
-            out &= (self.packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-        return out
-
-
-def made_filter(values: DataFrame, column: str, count: int) -> Filter:
-    """The filter of a long column; tasks return compressed filters that are joined one after the other."""
-    import zlib
-
-    out = Filter(count)
-    bits = out.bits
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(bits, np.uint8)
-        some = False
-        for b in batches:
-            some |= b.num_rows > 0
-            for at in out.places(b.column(0).to_numpy(zero_copy_only=False)):
-                own[at] = 1
-        if some:
-            yield pa.RecordBatch.from_pydict({"f": [zlib.compress(np.packbits(own).tobytes(), 1)]}, schema=pa.schema([("f", pa.binary())]))
-
-    for r in values.select(column).coalesce(8).mapInArrow(run, "f binary").toLocalIterator():
-        out.packed |= np.frombuffer(zlib.decompress(r["f"]), np.uint8)
-    return out
-
-
 _STRINGS = "h long, sub long, t long, start long, back int, stop long, text binary"
 _STRINGS_SCHEMA = pa.schema([("h", pa.int64()), ("sub", pa.int64()), ("t", pa.int64()), ("start", pa.int64()), ("back", pa.int32()), ("stop", pa.int64()), ("text", pa.binary())])
 
@@ -461,3 +419,20 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select doc_id, i, md5(substr(h, 2 * i + 1, 400)) as g from (select doc_id, h, unnest(range(0, len(h) // 2 - 199)) as i from d)),
+r as (select g from w group by g having count(*) > 1),
+s as (select doc_id, i from w semi join r using (g)),
+x as (select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 200 then 0 else 1 end as fresh from s),
+y as (select doc_id, i, sum(fresh) over (partition by doc_id order by i) as run from x),
+z as (select doc_id, min(i) as a, max(i) + 200 as b from y group by doc_id, run),
+p as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as c from z),
+k as (select p.doc_id, sum(b - a) as n_removed, count(*) as n_spans, max(b) as e, string_agg(substr(h, 2 * c + 1, 2 * (a - c)), '' order by a) as kept
+  from p join d using (doc_id) group by p.doc_id)
+select d.doc_id, (len(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(case when e is null then h else kept || substr(h, 2 * e + 1) end)) as kept_sha256
+from d left join k using (doc_id)
+"""
