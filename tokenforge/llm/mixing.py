@@ -34,23 +34,27 @@ TEMPER = 0.5
 STEPS, CLOSE = 60, 1e-4
 #: Features below this log-likelihood gain are left out as chance.
 SURE = 25.0
-_BINS = 10
+#: Features must be so many times as frequent in some domain as in all.
+LIFT = 2.0
+#: Bins of repetition, and what their names begin with.
+_BINS, _BIN = 10, "\x01r"
 
 
-def _words(text: Column) -> Column:
-    plain = text
+def features(docs: DataFrame) -> DataFrame:
+    """``(columns of docs but text, _row, n_tokens, word)``: each beginning of a word of ``text``, as often as it is there.
+
+    One more row names a bin of repetition, the share of distinct words, so every document has a row.
+    """
+    kept = [c for c in docs.columns if c != "text"]
+    plain = F.coalesce("text", F.lit(""))
     for c in ("\n", "\t", "\r"):
         plain = F.replace(plain, F.lit(c), F.lit(" "))
-    return F.array_remove(F.split(F.lower(plain), " "), "")
-
-
-def features(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``n_tokens`` and the distinct ``features`` of ``text``: word beginnings and a bin of repetition."""
-    spoken = docs.withColumn("_words", _words(F.coalesce("text", F.lit("")))).withColumn("n_tokens", F.size("_words").cast("long"))
-    begins = F.array_distinct(F.transform("_words", lambda w: F.substring(w, 1, BEGIN)))
-    spoken = spoken.withColumn("_begins", begins)
-    share = F.when(F.col("n_tokens") == 0, 0).otherwise(F.least(F.lit(_BINS - 1), F.floor(F.size("_begins") * _BINS / F.col("n_tokens"))))
-    return spoken.withColumn("features", F.concat("_begins", F.array(F.concat(F.lit("#repeats "), share.cast("int"))))).drop("_words", "_begins")
+    split = docs.select(*kept, F.monotonically_increasing_id().alias("_row"), F.split(F.lower(plain), " ").alias("_words"))
+    n = F.size(F.array_remove("_words", "")).cast("long")
+    told = split.withColumns({"n_tokens": n, "_distinct": F.size(F.array_distinct("_words"))})
+    share = F.when(F.col("n_tokens") == 0, 0).otherwise(F.least(F.lit(_BINS - 1), F.floor(F.col("_distinct") * _BINS / F.col("n_tokens"))))
+    every = F.concat("_words", F.array(F.concat(F.lit(_BIN), share.cast("string"))))
+    return told.select(*kept, "_row", "n_tokens", F.explode(every).alias("word")).withColumn("word", F.substring("word", 1, BEGIN)).where("word <> ''")
 
 
 def vocabulary(
@@ -65,15 +69,16 @@ def vocabulary(
         .limit(most)
     )
     # at most ``most`` rows of an id and a domain
-    known = features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")).select("domain", "features")
-    known, _ = stored(known, "mixing-labelled")
-    each = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("domain", "text")
+    known, _ = stored(features(sample).select("_row", "domain", "word").distinct(), "mixing-labelled")
+    # every document has one bin
+    each = {r["domain"]: r["n"] for r in known.where(F.startswith("word", F.lit(_BIN))).groupBy("domain").agg(F.count("*").alias("n")).collect()}
     total = sum(each.values())
     shares = [each.get(d, 0) / total if total else 0.0 for d in domains]
     there = [F.sum(F.when(F.col("domain") == d, 1).otherwise(0)).alias(f"n_{k}") for k, d in enumerate(domains)]
-    counts = known.select("domain", F.explode("features").alias("word")).groupBy("word").agg(F.count("*").alias("n"), *there)
+    counts = known.groupBy("word").agg(F.count("*").alias("n"), *there)
     # every bin has an entry, so every document meets one
-    bins = spark.range(_BINS).select(F.concat(F.lit("#repeats "), "id").alias("word"))
+    bins = spark.range(_BINS).select(F.concat(F.lit(_BIN), F.col("id").cast("string")).alias("word"))
     counts = bins.join(counts, "word", "full").fillna(0)
     everywhere = (F.col("n") + 0.5) / (total + 1.0)
     evidence, value = [], F.lit(0.0)
@@ -81,9 +86,9 @@ def vocabulary(
         own = each.get(d, 0)
         p = F.least(F.lit(0.999), (F.col(f"n_{k}") + everywhere) / (own + 1.0))
         evidence += [F.log(p / (1 - p)).alias(f"w_{k}"), F.log(1 - p).alias(f"v_{k}")]
-        # twice the log-likelihood gain of knowing the domain
-        value = F.greatest(value, 2 * F.col(f"n_{k}") * F.log(p / everywhere))
-    repeats = F.startswith("word", F.lit("#repeats "))
+        # twice the log-likelihood gain of knowing the domain; words of all domains say more of a text's length
+        value = F.greatest(value, F.when(p >= LIFT * everywhere, 2 * F.col(f"n_{k}") * F.log(p / everywhere)).otherwise(0.0))
+    repeats = F.startswith("word", F.lit(_BIN))
     scored = counts.select("word", *evidence, F.when(repeats, 1e12).otherwise(value).alias("value"))
     best = scored.where(F.col("value") >= SURE).orderBy(F.desc("value"), "word").limit(size).drop("value")
     best, _ = stored(best, "mixing-words")
@@ -95,11 +100,11 @@ def vocabulary(
 def posteriors(docs: DataFrame, words: DataFrame, bases: list[float | None]) -> DataFrame:
     """``docs`` without ``text``, with ``n_tokens`` and ``p_0, p_1, ...``; a pre-aggregated row for each row of ``docs``."""
     kept = [c for c in docs.columns if c != "text"]
-    spoken = features(docs.withColumn("_row", F.monotonically_increasing_id()))
-    lines = spoken.select("_row", "n_tokens", *(F.col(c).alias(f"_{i}") for i, c in enumerate(kept)), F.explode("features").alias("word"))
-    sums = [F.sum(f"w_{k}").alias(f"s_{k}") for k in range(len(bases))]
-    carried = [F.first(F.col(f"_{i}")).alias(f"_{i}") for i in range(len(kept))]
-    one = lines.join(F.broadcast(words), "word").groupBy("_row").agg(F.first("n_tokens").alias("n_tokens"), *carried, *sums)
+    lines = features(docs.select("text", *(F.col(c).alias(f"_{i}") for i, c in enumerate(kept))))
+    keys = ["_row", "n_tokens", *(f"_{i}" for i in range(len(kept)))]
+    # all but a few words fall out in the join; a word counts once
+    once = lines.join(F.broadcast(words), "word").groupBy(*keys, "word").agg(*(F.max(f"w_{k}").alias(f"w_{k}") for k in range(len(bases))))
+    one = once.groupBy(*keys).agg(*(F.sum(f"w_{k}").alias(f"s_{k}") for k in range(len(bases))))
     logits = [None if b is None else F.lit(b) + TEMPER * F.col(f"s_{k}") for k, b in enumerate(bases)]
     live = [x for x in logits if x is not None]
     if not live:
