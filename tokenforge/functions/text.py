@@ -79,6 +79,7 @@ def display_fasta(id_: Column, description: Column, sequence: Column) -> Column:
 
 
 def display_tokens(tokens: Column) -> Column:
+    """Fixed format."""
     return F.format_string("MmapItem(units_count: %d)", F.size(tokens))
 
 
