@@ -156,9 +156,11 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 512)
     misses = keyed.select("digest", "text").dropDuplicates(["digest"]).join(cached(), "digest", "left_anti")
     new = misses.mapInArrow(_encode(tokenizer), "digest binary, n_tokens long")
     new.withColumn("tokenizer", F.lit(version)).write.mode("append").parquet(cache)
+    # stored once more, so that the join's sides are plain exchanges whose hot digests can be split
+    counts, _ = stored(cached(), "token-counts")
     return (
         keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
-        .join(cached(), "digest", "left")
+        .join(counts, "digest", "left")
         .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
     )
 
