@@ -160,3 +160,27 @@ def test_magic_prime():
     assert primes.magic_prime(2473458, 512) == 4817
     assert primes.magic_prime(3 * 512, 512) == 0
     assert [i for i in range(30) if primes.is_prime(i)] == [2, 3, 5, 7, 11, 13, 17, 19, 23, 29]
+
+
+def test_vectors_by_batches_like_expressions(spark, monkeypatch):
+    monkeypatch.setattr(softlabel, "POSITIONS", 3)
+    r = random.Random(4)
+    rows = [(i, [{r.choice([*softlabel.LABELS, "?", "é"]): r.choice([0.0, 0.25, 1.0, -9.0, 3.5]) for _ in range(r.randint(0, 5))} for _ in range(r.randint(0, 5))]) for i in range(60)]
+    df = spark.createDataFrame([*rows, (60, None)], "i int, l array<map<string,double>>").repartition(2)
+    want = {x["i"]: x["v"] for x in df.select("i", softlabel.flat_vectors(F.col("l")).alias("v")).collect() if x["v"] is not None}
+    got = {x["i"]: x["v"] for x in softlabel.with_vectors(df, "l", "v").collect()}
+    assert got.keys() == want.keys()
+    for i in want:
+        assert got[i] == pytest.approx(want[i], abs=1e-6)
+
+
+def test_encoding_like_plain_greedy_search():
+    r = random.Random(6)
+    for _ in range(300):
+        tokens = list({bytes(r.choice(b"abc") for _ in range(r.randint(1, 5))) for _ in range(r.randint(1, 8))})
+        v = bpe.Vocabulary([f"{i + 1} b'{''.join(f'\\x{c:02x}' for c in t)}' {len(t)}" for i, t in enumerate(tokens)])
+        raw, want, at = bytes(r.choice(b"abc") for _ in range(r.randint(0, 30))), [], 0
+        while found := next((k for k in range(len(raw) - at, 0, -1) if raw[at : at + k] in tokens), 0):
+            want.append(tokens.index(raw[at : at + found]) + 1)
+            at += found
+        assert v.encode(raw, end=False) == want

@@ -6,6 +6,8 @@ import ast
 import re
 from collections.abc import Iterator
 
+import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,7 +68,7 @@ class Vocabulary:
         self.tokens = [found.get(i, b"") for i in range(max(found, default=-1) + 1)]
         if self.tokens and 0 not in found:
             self.tokens[0] = b"\0"  # the end of a document
-        self._by_start: dict[int, list[tuple[int, dict[bytes, int]]]] | None = None
+        self._matcher = None
 
     def __len__(self) -> int:
         return len(self.tokens)
@@ -82,35 +84,36 @@ class Vocabulary:
                     out[f"[Binary token {i}: {t.hex()}]"] = i
         return out
 
-    def _tables(self) -> dict[int, list[tuple[int, dict[bytes, int]]]]:
-        """By first byte, the token tables by length, longest first.  Id 0 ends no match; of equal tokens the last id wins."""
-        if self._by_start is None:
-            by: dict[int, dict[int, dict[bytes, int]]] = {}
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_matcher": None}  # workers build their own
+
+    def _match(self):
+        """Leftmost longest matches over bytes seen as Latin-1.  Id 0 ends no match; of equal tokens the last id wins."""
+        if self._matcher is None:
+            self._matcher = ahocorasick.Automaton()
             for i, t in enumerate(self.tokens):
                 if i and t:
-                    by.setdefault(t[0], {}).setdefault(len(t), {})[t] = i
-            self._by_start = {b: sorted(x.items(), reverse=True) for b, x in by.items()}
-        return self._by_start
+                    self._matcher.add_word(t.decode("latin-1"), (i, len(t)))
+            self._matcher.make_automaton()
+        return self._matcher
 
     def encode(self, raw: bytes, end: bool = True) -> list[int]:
         """Ids of the longest matches one after the other; the first byte without a match ends the text."""
-        tables, out, at = self._tables(), [], 0
-        while at < len(raw):
-            for size, table in tables.get(raw[at], ()):
-                token = table.get(raw[at : at + size])
-                if token is not None:
-                    out.append(token)
-                    at += size
+        out, at = [], 0
+        if raw and any(self.tokens[1:]):
+            for last, (i, size) in self._match().iter_long(raw.decode("latin-1")):
+                if last - size + 1 != at:
                     break
-            else:
-                break
+                out.append(i)
+                at = last + 1
         if end:
             out.append(END_ID)
         return out
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; unknown ones are skipped and bytes that are no text replaced."""
-        return b"".join(self.tokens[i] for i in ids if 0 <= i < len(self.tokens)).decode("utf-8", "replace")
+        tokens, n = self.tokens, len(self.tokens)
+        return b"".join([tokens[i] for i in ids if 0 <= i < n]).decode("utf-8", "replace")
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """``(token, id)`` of the vocabulary."""
@@ -130,7 +133,7 @@ def encoder(spark: SparkSession, vocabulary: Vocabulary, end: bool = True):
     def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v = shared.value
         for s in texts:
-            yield s.map(lambda t: v.encode(t.encode(), end), na_action="ignore")
+            yield s.map(lambda t: np.array(v.encode(t.encode(), end), np.int32), na_action="ignore")
 
     return encode
 
@@ -143,7 +146,7 @@ def decoder(spark: SparkSession, vocabulary: Vocabulary):
     def decode(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v = shared.value
         for s in ids:
-            yield s.map(v.decode, na_action="ignore")
+            yield s.map(lambda x: v.decode(x.tolist()), na_action="ignore")
 
     return decode
 

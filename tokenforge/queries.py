@@ -358,10 +358,10 @@ select event_id, round(f / (f + 30 * 0.002), 5) as p_k, round(0.002 / (f + 30 *
 """)
 def softlabel_vector(spark: SparkSession, d: str) -> DataFrame:
     document = F.concat(F.lit('{"softlabel_seq":['), F.col("props"), F.lit("]}"))
-    units = softlabel.flat_vectors(softlabel.positions(document))
+    labelled = table(spark, d, "events").select("event_id", softlabel.positions(document).alias("labels"))
     at = {x: softlabel.LABELS.index(x) for x in ("k", "A")}
     rounded = lambda i: F.round(F.col("u")[i].cast("double"), 5)
-    return table(spark, d, "events").select("event_id", units.alias("u")).select(
+    return softlabel.with_vectors(labelled, "labels", "u").select(
         "event_id", rounded(at["k"]).alias("p_k"), rounded(at["A"]).alias("p_other"), F.size("u").cast("long").alias("n_units")
     )
 
@@ -382,12 +382,14 @@ def softlabel_chain(spark: SparkSession, d: str) -> DataFrame:
 # Longest-match tokenizer
 
 
-@query("select doc_id, (strlen(text) + 1)::BIGINT as n_tokens, hex(encode(text)) as ids_hex from documents")
+@query("""
+select doc_id, (strlen(text) + 1)::BIGINT as n_tokens,
+  array_to_string(list_append(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::INT + 1), 0), ',') as ids from documents
+""")
 def bpe_encode(spark: SparkSession, d: str) -> DataFrame:
     encode = bpe.encoder(spark, bpe.byte_vocabulary())
     rows = table(spark, d, "documents").select("doc_id", encode("text").alias("ids"))
-    plain = F.transform(F.slice("ids", F.lit(1), F.size("ids") - 1), lambda x: F.lpad(F.hex(x - 1), 2, "0"))
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.concat_ws("", plain).alias("ids_hex"))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.concat_ws(",", F.col("ids").cast("array<string>")).alias("ids"))
 
 
 @query("select doc_id, md5(text) as digest from documents")
