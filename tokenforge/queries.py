@@ -430,7 +430,7 @@ def run_drain(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(m.read,)], "read long")
 
 
-@query("select date_trunc('hour', ts) as start, event_type, count(*)::BIGINT as n from events group by all")
+@query("select strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') as start, event_type, count(*)::BIGINT as n from events group by all")
 def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     """Tumbling windows of an event stream, all batches at once."""
     batch = table(spark, d, "events")
@@ -439,7 +439,7 @@ def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     counts = windowed_counts(events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour", "1 day", "event_type")
     stream = counts.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
     stream.awaitTermination()
-    return spark.table(name)
+    return spark.table(name).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n")
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
