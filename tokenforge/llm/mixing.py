@@ -31,7 +31,7 @@ MOST, VOCABULARY = 6000, 1024
 BEGIN = 5
 #: Evidence is scaled down, as words of one document are not independent.
 TEMPER = 0.5
-STEPS, CLOSE = 60, 1e-4
+STEPS, CLOSE, RIDGE = 60, 1e-4, 0.01
 #: Features below this log-likelihood gain are left out as chance.
 SURE = 25.0
 #: Features must be so many times as frequent in some domain as in all.
@@ -153,17 +153,24 @@ def fit_rates(soft: DataFrame, targets: list[float], budget: float | None = None
     if not total or not sum(reach):
         return []
     want = [t / sum(reach) * total for t in reach]
-    # errors are weighed by the inverse of the Gram matrix, which makes the steepest curvature 1
-    ridge = 1e-9 * sum(g[i][i] for i in range(k))
-    weight = _inverse([[g[i][j] + ridge * (i == j) for j in range(k)] for i in range(k)])
+    # errors are weighed by the inverse Gram matrix, which makes the steepest curvature 1; that of the documents whose
+    # rates are above 0 is nearer to the problem as it stands, and is taken as long as it brings the totals closer
+    cautious, best = False, math.inf
     steps: list[list[float]] = []
     for _ in range(STEPS):
-        r = fitted_rate(ps, steps)
-        # the rate once, then the sums
-        got = soft.select("n_tokens", *ps, r.alias("r")).agg(*(F.sum(n * F.col(f"p_{i}") * F.col("r")).alias(f"a_{i}") for i in range(k))).collect()[0]
+        live = F.when(F.col("r") > 0, n)
+        sums = [F.sum(n * ps[i] * F.col("r")).alias(f"a_{i}") for i in range(k)]
+        sums += [F.sum(live * ps[i] * ps[j]).alias(f"g_{i}_{j}") for i in range(k) for j in range(i, k)]
+        got = soft.select("n_tokens", *ps, fitted_rate(ps, steps).alias("r")).agg(*sums).collect()[0]
         off = [(got[f"a_{i}"] or 0.0) - want[i] for i in range(k)]
-        if max(map(abs, off)) <= CLOSE * total:
+        worst = max(map(abs, off))
+        if worst <= CLOSE * total:
             break
+        cautious |= worst >= best
+        best = min(best, worst)
+        h = g if cautious else [[(got[f"g_{min(i, j)}_{max(i, j)}"] or 0.0) for j in range(k)] for i in range(k)]
+        ridge = [1e-9 * sum(g[i][i] for i in range(k)) + (0.0 if cautious else RIDGE * g[i][i]) for i in range(k)]
+        weight = _inverse([[h[i][j] + ridge[i] * (i == j) for j in range(k)] for i in range(k)])
         steps.append([sum(weight[i][j] * off[j] for j in range(k)) for i in range(k)])
     return steps
 
