@@ -184,3 +184,17 @@ def test_encoding_like_plain_greedy_search():
             want.append(tokens.index(raw[at : at + found]) + 1)
             at += found
         assert v.encode(raw, end=False) == want
+
+
+def test_settings(tmp_path):
+    from tokenforge.config import load_toml
+    from tokenforge.endpoints import KeyValue
+
+    p = tmp_path / "a.toml"
+    p.write_text('path = "/kv"\ndb = 2\n')
+    assert load_toml(str(p)) == {"path": "/kv", "db": 2} and load_toml(str(p), KeyValue) == KeyValue("/kv", 2)
+    p.write_text('path = "/kv"\nother = 1\n')
+    with pytest.raises(ConfigError, match="other"):
+        load_toml(str(p), KeyValue)
+    with pytest.raises(ConfigError):
+        load_toml(str(tmp_path / "none.toml"))
