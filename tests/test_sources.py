@@ -115,7 +115,7 @@ def test_token_file_order_devices_and_ranges(spark, tmp_path):
 def test_token_file_refuses(spark, tmp_path):
     for rows, spec in [([[1, 2, 3]], {"units_per_token": 2}), ([[70000]], {}), ([[-1]], {})]:
         with pytest.raises(Exception, match="unit"):
-            write_tokens(spark.createDataFrame([(r,) for r in rows], "tokens array<int>"), TokenFile(str(tmp_path), "bad", **spec))
+            write_tokens(spark.createDataFrame([(r,) for r in rows], "tokens array<int>").coalesce(1), TokenFile(str(tmp_path), "bad", **spec))
     assert not list(tmp_path.glob(".*"))
     for bad in ({"devices": 0}, {"units_per_token": 0}, {"legacy": True, "unit": TokenUnit.U8}, {"context_length": 0}):
         with pytest.raises(ConfigError):

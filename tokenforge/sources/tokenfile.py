@@ -196,20 +196,26 @@ class _Writer(DataSourceArrowWriter):
         fs.create_dir(base, recursive=True)
         name = f".{self.job}-{partition}-{uuid.uuid4().hex}"
         lines = size = total = 0
-        with fs.open_output_stream(f"{base}/{name}.bin") as body, fs.open_output_stream(f"{base}/{name}.len") as index:
-            for batch in batches:
-                x, counts = _units(batch.column(self.at))
-                if (counts % spec.units_per_token).any():
-                    raise ConfigError(f"a line's units are no whole tokens of {spec.units_per_token}")
-                if unit is not TokenUnit.F32 and len(x) and (x.min() < 0 or x.max() >= 1 << 8 * unit.size):
-                    raise ConfigError(f"a unit does not fit {unit.name}")
-                tokens = counts // spec.units_per_token
-                if len(tokens) and tokens.max() > 0xFFFFFFFF:
-                    raise ConfigError("a line of too many tokens")
-                raw = x.astype(unit.dtype).tobytes()
-                body.write(raw)
-                index.write(tokens.astype("<u4").tobytes())
-                lines, size, total = lines + len(tokens), size + len(raw), total + int(tokens.sum())
+        try:
+            with fs.open_output_stream(f"{base}/{name}.bin") as body, fs.open_output_stream(f"{base}/{name}.len") as index:
+                for batch in batches:
+                    x, counts = _units(batch.column(self.at))
+                    if (counts % spec.units_per_token).any():
+                        raise ConfigError(f"a line's units are no whole tokens of {spec.units_per_token}")
+                    if unit is not TokenUnit.F32 and len(x) and (x.min() < 0 or x.max() >= 1 << 8 * unit.size):
+                        raise ConfigError(f"a unit does not fit {unit.name}")
+                    tokens = counts // spec.units_per_token
+                    if len(tokens) and tokens.max() > 0xFFFFFFFF:
+                        raise ConfigError("a line of too many tokens")
+                    raw = x.astype(unit.dtype).tobytes()
+                    body.write(raw)
+                    index.write(tokens.astype("<u4").tobytes())
+                    lines, size, total = lines + len(tokens), size + len(raw), total + int(tokens.sum())
+        except BaseException:
+            for end in ("bin", "len"):  # a task that fails leaves nothing
+                if fs.get_file_info(f"{base}/{name}.{end}").type != pafs.FileType.NotFound:
+                    fs.delete_file(f"{base}/{name}.{end}")
+            raise
         return _Shard(partition, name, lines, size, total)
 
     def commit(self, messages: list[_Shard | None]) -> None:
