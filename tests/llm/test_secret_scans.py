@@ -68,6 +68,36 @@ def test_battery_finds_random_and_leaves_text():
     assert [x for x in S.scan(plain) if x[0] == "random"] == []
 
 
+def test_values_glued_to_names_and_paths_are_tested():
+    r = random.Random(11)
+    mixed, low = string.ascii_letters + string.digits, string.ascii_lowercase + string.digits
+    value = lambda letters: "".join(r.choice(letters) for _ in range(28))
+    uuid = lambda: re.sub("(.{8})(.{4})(.{4})(.{4})(.{12})", r"\1-\2-\3-\4-\5", r.randbytes(16).hex())
+    cases = {
+        "session={}": lambda: value(mixed), "?sig={}": lambda: value(mixed), "AWS_SECRET_ACCESS_KEY={}": lambda: value(mixed),
+        "key-{}": lambda: value(low) + "".join(r.choice(low) for _ in range(12)), "a-b/{}": lambda: value(mixed),
+        "key-name={}": lambda: base64.b64encode(r.randbytes(33)).decode(), "a_b/Documents/of/the/Department/{}": lambda: value(mixed),
+        "users/id={}": uuid,
+    }
+    for form, make in cases.items():
+        glued = alone = 0
+        for _ in range(100):
+            v = make()
+            text = f"some words {form.format(v)} more"
+            s = text.index(v)
+            glued += any(k == "random" and a <= s and b >= s + len(v.rstrip("=")) for k, a, b in S.scan(text))
+            alone += any(k == "random" for k, *_ in S.scan(f"some words {v} more"))
+        assert glued >= 0.8 * alone > 0, (form, glued, alone)
+    both = 0
+    for _ in range(100):
+        two = [value(mixed) + value(mixed) for _ in range(2)]
+        text = f"first={two[0]}=second={two[1]}"
+        both += [text[a:b] for k, a, b in S.scan(text) if k == "random"] == two
+    assert both >= 90, both
+    plain = "home/user/projects/some_long_identifier-of-words/Documents/antidisestablishmentarianismus=Donaudampfschifffahrtsgesellschaft"
+    assert S.scan(plain) == []
+
+
 def test_redaction(spark):
     got = {r["doc_id"]: r for r in S.redacted(frame(spark, secrets() + [(1, None), (2, "")])).collect()}
     assert got[101]["text"] == "é [SECRET] and AKIASHORT" and got[101]["n_chars"] == len(got[101]["text"])

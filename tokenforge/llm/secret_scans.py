@@ -4,8 +4,9 @@ Fixed patterns find assignments, access keys and hex runs.  Beside them, every r
 is tested: its encoding is inferred from the characters present; the hypothesis "this is text" gets the p-value
 1 / (likelihood ratio of the uniform alphabet over letter frequencies of text), which holds at every length (Markov);
 chi-squared uniformity, a runs test and a lag-one serial correlation must not contradict randomness.  The p-values
-of one document go through a Benjamini-Hochberg rule with weights that grow with the run's length.  No document
-needs another, so the scan moves no rows.
+of one document go through a Benjamini-Hochberg rule with weights that grow with the run's length.  A run that is not
+found as a whole, such as a value glued to a name or path by ``=``, ``/``, ``_``, ``-`` or ``+``, goes through the rule
+again, first cut at ``=``, then as its words and their ranges.  No document needs another, so the scan moves no rows.
 
 Defined cases: null and empty texts have no spans; rows repeat as they do in the input; an empty table gives an
 empty result; other columns are ignored by the scan and kept by the redaction.  Positions are code points, ends
@@ -40,6 +41,10 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile("AKIA[A-Z0-9]+")
 _HEX = re.compile("[0-9a-f]+")
 _RUN = re.compile("[A-Za-z0-9+/_=-]+")
+_WORD = re.compile("[A-Za-z0-9]+")
+_GROUPED = re.compile("(?<![A-Za-z0-9])[0-9a-fA-F]+(?:-[0-9a-fA-F]+)+(?![A-Za-z0-9])")
+#: The signs of base64 and of its URL-safe form.
+_ALNUM, _JOINTS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", ("+/", "-_")
 _HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key", b"akia")
 LEAST_HEX, LEAST_RUN = 16, 20
 #: Letter frequencies of text in Latin script, in percent, from a to z (rounded means over European languages).
@@ -76,11 +81,11 @@ def encoding(run: str) -> tuple[str, str] | None:
     return None
 
 
-def text_p_value(run: str, alphabet: str) -> float:
-    """A bound on the p-value of "``run`` is text" against "uniform over ``alphabet``"."""
+def _gains(run: str, alphabet: str) -> list[float]:
+    """What each character adds to the log-likelihood of "uniform over ``alphabet``" over that of text."""
     letters = sum(c.isalpha() for c in alphabet)
     cased = any(c.islower() for c in alphabet) and any(c.isupper() for c in alphabet)
-    gain, total = 0.0, sum(_FREQUENT.values())
+    out, total = [], sum(_FREQUENT.values())
     others = len(alphabet) - letters
     for i, c in enumerate(run):
         if c.isalpha():
@@ -90,7 +95,13 @@ def text_p_value(run: str, alphabet: str) -> float:
             q *= 0.9 if others else 1.0
         else:  # in text digits follow digits
             q = (0.9 if i and not run[i - 1].isalpha() else 0.1) / max(others, 1)
-        gain += -math.log(len(alphabet)) - math.log(q)
+        out.append(-math.log(len(alphabet)) - math.log(q))
+    return out
+
+
+def text_p_value(run: str, alphabet: str) -> float:
+    """A bound on the p-value of "``run`` is text" against "uniform over ``alphabet``"."""
+    gain = sum(_gains(run, alphabet))
     return min(1.0, math.exp(-gain)) if gain > 0 else 1.0
 
 
@@ -120,29 +131,105 @@ def random_like(run: str, alphabet: str, least: float = 1e-3) -> bool:
     return _tail((r + 1 / n) * math.sqrt(n)) >= least
 
 
-def _random_spans(text: str, runs: list[tuple[int, int]], rate: float) -> list[tuple[str, int, int]]:
-    tested = []
-    for s, e in runs:
-        run = text[s:e].strip("=_-+/")
-        s += text[s:e].find(run) if run else 0
-        e = s + len(run)
-        if len(run) < LEAST_RUN:
-            continue
-        core = run
-        if re.fullmatch("[0-9a-fA-F]+(-[0-9a-fA-F]+)+", run):  # grouped hex
-            core = run.replace("-", "")
-        found = encoding(core)
-        if found is None or any(c not in found[1] for c in core):
-            tested.append((1.0, len(core), s, e))
+def _p_value(core: str) -> float:
+    found = encoding(core)
+    if found is None or any(c not in found[1] for c in core):
+        return 1.0
+    p = text_p_value(core, found[1])
+    return p if p < 1 and random_like(core, found[1]) else 1.0
+
+
+def _best_ranges(gains: list[float]) -> list[tuple[int, int]]:
+    """All disjoint ranges of the largest sums (Ruzzo and Tompa)."""
+    done: list[tuple] = []
+    kept: list[tuple] = []  # (start, end, sum before, sum after)
+    total = least = 0.0
+    for i, g in enumerate(gains):
+        before, total = total, total + g
+        if g <= 0:
+            if total <= least:  # nothing joins over a new least sum
+                least, done, kept = total, done + kept, []
             continue
-        p = text_p_value(core, found[1])
-        tested.append((p if p < 1 and random_like(core, found[1]) else 1.0, len(core), s, e))
-    if not tested:
+        new = (i, i + 1, before, total)
+        while kept:
+            j = next((j for j in reversed(range(len(kept))) if kept[j][2] < new[2]), None)
+            if j is None or kept[j][3] >= new[3]:
+                break
+            new = (kept[j][0], i + 1, kept[j][2], total)
+            del kept[j:]
+        kept.append(new)
+    return [(s, e) for s, e, _, _ in done + kept]
+
+
+def _parts(run: str) -> list[tuple[float, int, int, int]]:
+    """Disjoint parts of a run of several words that are unlike text, as (p-value, length, start, end).
+
+    Parts are single words and grouped hex (3/2 n of n words at most), and ranges of words that base64 or its URL-safe
+    form can hold (n (n - 1)); p-values are multiplied by twice the number of all parts of either kind.
+    """
+    words = [m.span() for m in _WORD.finditer(run)]
+    if len(words) < 2:
         return []
+    singles = {(s, e): run[s:e] for s, e in words} | {m.span(): m[0].replace("-", "") for m in _GROUPED.finditer(run)}
+    ranges = {}
+    for joints in _JOINTS:
+        own: list[tuple[int, int]] = []
+        for k, (s, e) in enumerate(words):
+            own.append((s, e))
+            if k + 1 < len(words) and all(c in joints for c in run[e : words[k + 1][0]]):
+                continue
+            start = own[0][0]
+            if len(own) > 1 and e - start >= LEAST_RUN:
+                gains = _gains(run[start:e], _ALNUM + joints)
+                ends = [0, *(x - start for _, x in own)]
+                best = _best_ranges([sum(gains[x:y]) for x, y in zip(ends, ends[1:], strict=False)])
+                ranges |= {(own[i][0], own[j - 1][1]): run[own[i][0] : own[j - 1][1]] for i, j in best}
+            own = []
+    tries = ((singles, 3 * len(words)), (ranges, 2 * len(words) * (len(words) - 1)))
+    found = sorted((_p_value(core) * n, s, e, len(core)) for spans, n in tries for (s, e), core in spans.items() if len(core) >= LEAST_RUN)
+    taken = np.zeros(len(run), bool)
+    out = []
+    for p, s, e, n in found:
+        if p < 1 and not taken[s:e].any():
+            taken[s:e] = True
+            out.append((p, n, s, e))
+    return out
+
+
+def _discovered(tested: list[tuple[float, int, int, int]], rate: float) -> set[tuple[int, int]]:
+    """The Benjamini-Hochberg rule, weighted by length."""
+    if not tested:
+        return set()
     mean = sum(t[1] for t in tested) / len(tested)
     ranked = sorted((min(1.0, p * mean / n), s, e) for p, n, s, e in tested)
     keep = max((i for i, (p, _, _) in enumerate(ranked, 1) if p <= rate * i / len(ranked)), default=0)
-    return [("random", s, e) for _, s, e in ranked[:keep]]
+    return {(s, e) for _, s, e in ranked[:keep]}
+
+
+def _as_wholes(text: str, spans: list[tuple[int, int]]) -> list[tuple[float, int, int, int]]:
+    tested = []
+    for s, e in spans:
+        run = text[s:e].strip("=_-+/")
+        s += text[s:e].find(run) if run else 0
+        if len(run) >= LEAST_RUN:
+            core = run.replace("-", "") if _GROUPED.fullmatch(run) else run
+            tested.append((_p_value(core), len(core), s, s + len(run)))
+    return tested
+
+
+def _random_spans(text: str, runs: list[tuple[int, int]], rate: float) -> list[tuple[str, int, int]]:
+    tested = _as_wholes(text, runs)
+    found = _discovered(tested, rate)
+    # "=" is in no value but at its end
+    for split in (lambda run: _as_wholes(run, [m.span() for m in re.finditer("[^=]+", run)]) if "=" in run else [], _parts):
+        smaller = []
+        for t in tested:
+            at = t[2]
+            inner = [] if t[2:] in found else split(text[at : t[3]])
+            smaller += [(p, n, at + s, at + e) for p, n, s, e in inner] or [t]
+        tested = smaller
+        found |= _discovered(tested, rate)
+    return [("random", s, e) for s, e in found]
 
 
 def scan(text: str | None, rate: float = 1e-4) -> list[tuple[str, int, int]]:
@@ -205,7 +292,7 @@ def _joined(spans: list[tuple[str, int, int]]) -> str:
 def secret_scans(docs: DataFrame, rate: float = 1e-4) -> DataFrame:
     """A row for each row of ``docs(doc_id, text)``: counts by fixed pattern, their digest, and all spans.
 
-    ``rate`` bounds the false discoveries among a document's tested runs.
+    ``rate`` bounds the false discoveries among a document's tested runs, and anew among each cut of those not found.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
