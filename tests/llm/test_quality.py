@@ -1,4 +1,8 @@
 import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
 
 from tests.llm.cases import documents, frame, words
 from tokenforge.llm import quality as Q
@@ -30,6 +34,26 @@ def test_held_out_accuracy(spark):
     assert len(held) > 50 and sum((got[i] >= 0.5) == (q == 1) for i, q in held) >= 0.97 * len(held)
 
 
+def test_word_vectors_cover_all_documents(spark):
+    rows, labels = made(60)
+    rest = [(900 + k, "zork blip " * 5 + t) for k, (_, t) in enumerate(rows)] + documents() + [(990, "zork " * 20_000), (991, "one")]
+    got = Q.fit(frame(spark, rows + rest), labels_frame(spark, labels)).words
+    pairs = Counter()
+    for _, t in rows + rest:
+        w = [int(x) for p in Q._pieces(pa.array([t or ""])) for x in Q._bucket(p[7])]
+        for step in range(1, Q.NEAR + 1):
+            for x, y in zip(w, w[step:]):  # noqa: B905
+                pairs[x, y] += 1
+                pairs[y, x] += 1
+    index, want = Q._index_vectors(np.arange(Q.BUCKETS)), np.zeros((Q.BUCKETS, Q.DIM))
+    for (x, y), n in pairs.items():
+        want[x] += n * index[y]
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1)
+    want += index / np.sqrt(8)
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
+    assert np.allclose(got, want, atol=1e-5)
+
+
 def test_held_out_labels_do_not_matter(spark):
     rows, labels = made(150)
     docs = frame(spark, rows)

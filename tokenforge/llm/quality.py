@@ -1,14 +1,14 @@
 """Quality classifier on random-indexing word vectors (operator 5).
 
 Every word hash owns a sparse random index vector.  A word's vector, kept in one of BUCKETS rows, sums the index
-vectors of its neighbours over the training texts plus its own; rows are scaled to unit length.  A document is the mean
+vectors of its neighbours over all documents plus its own; rows are scaled to unit length.  A document is the mean
 of its words' vectors beside the spread of those vectors and a few shape figures.  A two-layer network in numpy is
 trained on these, and a temperature found on a part of the training rows kept from training calibrates its
 probabilities.
 
-The classifier is fitted on at most ``most`` labelled rows (those whose hashed ids come first); everything else scores
-every row.  Only the model (a fixed size, about 10 MB) is broadcast, and only the bounded sample's sums and pooled
-vectors reach the driver.
+The classifier is fitted on at most ``most`` labelled rows (those whose hashed ids come first); everything else covers
+every row.  Only the model (a fixed size, about 10 MB) is broadcast, and only the word sums (a fixed size, summed by
+slices of buckets before) and the bounded sample's pooled vectors reach the driver.
 
 Defined cases: null and empty texts are scored as documents without words; labels outside 0 and 1, and null ones, are
 ignored; several labels of one document each count as a row; without labels of both classes every score is the share of
@@ -40,6 +40,8 @@ MOST = 6000
 #: Words of a document that are pooled at once.
 CHUNK = 1 << 14
 SHAPES = 12
+#: Rows in which a task's sums are shuffled.
+SLICES = 64
 
 
 def _pieces(column: pa.Array) -> Iterator[tuple]:
@@ -68,29 +70,48 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's neighbour counts as one compressed table of DIM sums a bucket."""
-    index = _index_vectors(np.arange(BUCKETS))
-    total, seen = np.zeros((BUCKETS, DIM), np.float32), False
+    """A task's sums of neighbours' index vectors, as a compressed row for each slice of buckets."""
+    index = _index_vectors(np.arange(BUCKETS)).astype(np.int8)
+    total = np.zeros((BUCKETS, DIM), np.int64)
     for b in batches:
         for _, _, _, _, _, _, rows, hashes in _pieces(b.column("text")):
-            seen = True
             w = _bucket(hashes)
-            for step in range(1, NEAR + 1):
-                for lo in range(0, len(w) - step, CHUNK):
-                    x, y = w[lo : lo + CHUNK], w[lo + step : lo + step + CHUNK]
-                    x = x[: len(y)]
-                    same = rows[lo : lo + len(y)] == rows[lo + step : lo + step + len(y)]
-                    x, y = x[same], y[same]
-                    np.add.at(total, x, index[y])
-                    np.add.at(total, y, index[x])
-    if seen:
-        yield pa.RecordBatch.from_pydict({"sums": [zlib.compress(total.tobytes(), 1)]}, schema=pa.schema([("sums", pa.binary())]))
-
-
-def word_table(sums: list[bytes]) -> np.ndarray:
-    total = np.zeros((BUCKETS, DIM), np.float32)
-    for x in sums:
-        total += np.frombuffer(zlib.decompress(x), np.float32).reshape(BUCKETS, DIM)
+            for lo in range(0, len(w), CHUNK):
+                hi, first = min(lo + CHUNK, len(w)), max(0, lo - NEAR)
+                v, r = index[w[first : hi + NEAR]], rows[first : hi + NEAR]
+                near = np.zeros_like(v)
+                for step in range(1, NEAR + 1):
+                    same = (r[step:] == r[:-step])[:, None]
+                    near[:-step] += v[step:] * same
+                    near[step:] += v[:-step] * same
+                order = np.argsort(w[lo:hi].astype(np.uint16), kind="stable")
+                at, starts = np.unique(w[lo:hi][order], return_index=True)
+                total[at] += np.add.reduceat(near[lo - first : hi - first][order], starts, axis=0, dtype=np.int64)
+    yield from _sliced({k: x for k, x in enumerate(total.reshape(SLICES, -1)) if x.any()})
+
+
+def _sliced(sums: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    if sums:
+        packed = [zlib.compress(x.tobytes(), 1) for x in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], names=["slice", "sums"])
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each slice that the partition has rows of."""
+    sums: dict[int, np.ndarray] = {}
+    for b in batches:
+        for k, x in zip(b.column("slice").to_pylist(), b.column("sums").to_pylist(), strict=True):
+            sums[k] = sums.get(k, 0) + np.frombuffer(zlib.decompress(x), np.int64)
+    yield from _sliced(sums)
+
+
+def word_table(docs: DataFrame) -> np.ndarray:
+    """The vectors of all buckets over all of ``docs(text)``."""
+    total = np.zeros((SLICES, BUCKETS // SLICES * DIM))
+    parts = "slice int, sums binary"
+    for r in docs.select("text").mapInArrow(_sums, parts).repartition("slice").mapInArrow(_merged, parts).collect():  # SLICES rows at most
+        total[r["slice"]] = np.frombuffer(zlib.decompress(r["sums"]), np.int64)
+    total = total.reshape(BUCKETS, DIM)
     total /= np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1)
     total += _index_vectors(np.arange(BUCKETS)) / math.sqrt(8)
     return (total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)).astype(np.float32)
@@ -223,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
     # at most ``most`` ids and labels: 16 bytes each
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     sample, _ = stored(texts.select("text", "label"), "quality-sample")
-    words = word_table([r["sums"] for r in sample.select("text").coalesce(4).mapInArrow(_sums, "sums binary").toLocalIterator()])
+    words = word_table(docs)
     shared = spark.sparkContext.broadcast(words)
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
