@@ -67,6 +67,21 @@ def test_like_brute_force(spark):
     assert tuples(U.url_filters(pages, U.html_edges(pages))) == brute(PAGES)
 
 
+def test_relative_links_are_resolved(spark):
+    from urllib.parse import urljoin
+
+    links = ["/x", "//host.net/x", "y", "../y?q=1", "./", "..", "a/./b/../c", "?z", "#f", "/", "../../../up", "http://e.io/a", "g;x=1/../y", "//host.net", "a://b"]
+    for url in ("http://a.io/b/c/d?q#f", "https://a.io", "http://a.io/", "http://a.io?k"):
+        df = spark.createDataFrame([(x, url) for x in links], "link string, url string")
+        for r in df.withColumn("got", U.resolved(U.F.col("link"), U.F.col("url"))).collect():
+            assert r["got"] == urljoin(url, r["link"]) or r["link"] == "a://b" == r["got"], r
+    none = spark.createDataFrame([("mailto:x", "http://a.io/"), ("x", "nothing"), ("x", None)], "link string, url string")
+    assert [r["got"] for r in none.select(U.resolved(U.F.col("link"), U.F.col("url")).alias("got")).collect()] == [None] * 3
+    pages = frame(spark, [(1, "http://a.io/1", CANON.format("//x.net/p")), (2, "http://a.io/b/2", CANON.format("../1")), (3, "http://a.io/3", TURN.format("/b/2")), (4, "http://a.io/4", "")])
+    got = {r["page_id"]: r["verdict"] for r in U.url_filters(pages, U.html_edges(pages)).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
 def test_given_edges(spark):
     pages = frame(spark, [(1, "http://p.io/", ""), (2, "http://q.io/", ""), (3, "http://r.org/fr/", "")])
     edges = spark.createDataFrame([("http://p.io/", "http://s.io/"), ("http://s.io/", "http://z.net/"), (None, "http://q.io/"), ("http://r.org/fr/", "http://s.io/")], "src string, dst string")

@@ -6,7 +6,8 @@ The others belong to equivalence classes over redirect and canonical-link edges
 member blocks them, else they are allowed.  Only DataFrame functions are used.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is allowed; the same url
-on several pages is one node; an edge with a null end is ignored; a hot url is one row before any edge is shuffled,
+on several pages is one node; an edge with a null end is ignored; a
+relative link is resolved against its page's url (not against ``<base>``), and gives no edge where that has no ``://``; a hot url is one row before any edge is shuffled,
 as edges are made distinct first; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -39,6 +40,36 @@ def ruled(df: DataFrame, rules=RULES) -> DataFrame:
     return df.withColumn("rule", name).withColumn("rule_verdict", verdict)
 
 
+def resolved(link: Column, url: Column) -> Column:
+    """``link`` as it reads from the page at ``url`` (RFC 3986, 5.2); absolute ones stay as they are.
+
+    Null where ``url`` has no ``://`` to resolve by, and for links of other schemes (``mailto:x``).
+    """
+    scheme = F.regexp_extract(url, r"(?s)^([A-Za-z][A-Za-z0-9+.-]*:)//", 1)
+    root = F.regexp_extract(url, r"(?s)^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    at, asked = path(url), F.regexp_extract(url, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    own, rest = F.regexp_extract(link, r"(?s)^([^?#]*)", 1), F.regexp_extract(link, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.when(at == "", F.lit("/")).otherwise(F.regexp_extract(at, r"(?s)^(.*/)", 1))
+    whole = F.when(F.startswith(own, F.lit("/")), own).otherwise(F.concat(folder, own))
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    parts = F.split(F.substring(whole, 2, 1 << 30), "/")
+    clean = F.concat(F.lit("/"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/"))
+    # a path that ends in a dot segment is a folder
+    clean = F.when(F.regexp_like(whole, F.lit(r"/\.\.?$")) & ~F.endswith(clean, F.lit("/")), F.concat(clean, F.lit("/"))).otherwise(clean)
+    query = F.when(F.startswith(rest, F.lit("?")), rest).otherwise(F.concat(asked, rest))  # of the page, where the link has neither
+    return (
+        F.when(F.regexp_like(link, F.lit("(?s)^[A-Za-z][A-Za-z0-9+.-]*://")), link)
+        .when((root == "") | F.regexp_like(link, F.lit("(?s)^[A-Za-z][A-Za-z0-9+.-]*:")), F.lit(None))
+        .when(F.startswith(link, F.lit("//")), F.concat(scheme, link))
+        .when(own == "", F.concat(root, at, query))
+        .otherwise(F.concat(root, clean, rest))
+    )
+
+
 def html_edges(pages: DataFrame) -> DataFrame:
     """Edges ``(src, dst)`` between urls from canonical links and refresh redirects in ``pages(url, html)``."""
     tag = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
@@ -48,7 +79,8 @@ def html_edges(pages: DataFrame) -> DataFrame:
     found = pages.where(F.contains(low, F.lit("canonical")) | F.contains(low, F.lit("refresh"))).select(
         F.col("url").alias("src"), F.explode(F.array(F.regexp_extract("html", tag, 1), F.regexp_extract("html", turn, 1))).alias("dst")
     )
-    return found.where(F.contains("dst", F.lit("://"))).distinct()
+    told = found.where("dst <> ''").withColumn("dst", resolved(F.col("dst"), F.col("src")))
+    return told.where("dst is not null").distinct()
 
 
 def url_filters(pages: DataFrame, edges: DataFrame, rules=RULES) -> DataFrame:
