@@ -1,5 +1,6 @@
 import random
 import re
+import warnings
 
 import pytest
 
@@ -54,6 +55,16 @@ def test_rates_like_plain_projected_gradient(spark):
     assert sum(n * p * x for x, (n, p, _) in zip(want, soft, strict=True)) == pytest.approx(0.2 * total, rel=0.02)
 
 
+def test_a_fit_that_is_cut_off_warns(spark, monkeypatch):
+    monkeypatch.setattr(M, "STEPS", 3)
+    df = spark.createDataFrame([(10, 0.5, 0.5), (30, 0.5, 0.5)], "n_tokens long, p_0 double, p_1 double")
+    with pytest.warns(UserWarning, match="off its target by 0.4 of the budget"):
+        assert len(M.fit_rates(df, [0.1, 0.9])) == 3
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        M.fit_rates(df, [0.5, 0.5])
+
+
 def test_unseen_domain_and_odd_rows(spark):
     rows, labels = made(120)
     docs = frame(spark, rows + [(5000 + k, t) for k, (_, t) in enumerate(documents())] + [(None, "alpha beta"), (0, "alpha beta")])

@@ -4,7 +4,8 @@ A naive Bayes classifier over word beginnings, fitted on a table of labelled doc
 probabilities p of the domains.  With n tokens and a rate r >= 0 a document brings n p_k r expected tokens of domain k; the
 rates are those that projected-gradient least squares finds, starting from 1, so that the totals meet the targets'
 shares of the budget.  A step needs one row of sums over all documents; a document's rate is refolded from the steps'
-few coefficients, so no rates are written between steps.  Only DataFrame functions are used.
+few coefficients, so no rates are written between steps.  After STEPS steps the fit ends, with a warning that gives the
+largest gap if a total is still off by more than CLOSE of the budget.  Only DataFrame functions are used.
 
 The classifier is fitted on at most ``most`` labelled rows; its vocabulary has at most ``vocabulary`` entries, which is
 what is broadcast.  Token counts and totals cover all documents.
@@ -18,6 +19,7 @@ result; columns that are not asked for are ignored.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,7 +144,7 @@ def _inverse(m: list[list[float]]) -> list[list[float]]:
 
 
 def fit_rates(soft: DataFrame, targets: list[float], budget: float | None = None) -> list[list[float]]:
-    """The steps of projected gradient on ``soft(n_tokens, p_0, ...)``."""
+    """The steps of projected gradient on ``soft(n_tokens, p_0, ...)``; warns if totals stay off by more than CLOSE."""
     k = len(targets)
     ps = [F.col(f"p_{i}") for i in range(k)]
     n = F.col("n_tokens").cast("double")
@@ -157,7 +159,7 @@ def fit_rates(soft: DataFrame, targets: list[float], budget: float | None = None
     # rates are above 0 is nearer to the problem as it stands, and is taken as long as it brings the totals closer
     cautious, best = False, math.inf
     steps: list[list[float]] = []
-    for _ in range(STEPS):
+    while True:
         live = F.when(F.col("r") > 0, n)
         sums = [F.sum(n * ps[i] * F.col("r")).alias(f"a_{i}") for i in range(k)]
         sums += [F.sum(live * ps[i] * ps[j]).alias(f"g_{i}_{j}") for i in range(k) for j in range(i, k)]
@@ -166,6 +168,9 @@ def fit_rates(soft: DataFrame, targets: list[float], budget: float | None = None
         worst = max(map(abs, off))
         if worst <= CLOSE * total:
             break
+        if len(steps) == STEPS:
+            warnings.warn(f"after {STEPS} steps a domain's total is off its target by {worst / total:.2g} of the budget", stacklevel=2)
+            break
         cautious |= worst >= best
         best = min(best, worst)
         h = g if cautious else [[(got[f"g_{min(i, j)}_{max(i, j)}"] or 0.0) for j in range(k)] for i in range(k)]
