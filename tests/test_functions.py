@@ -27,6 +27,11 @@ def one(spark, value, f, kind="string"):
         ('{"text":"a"} x', None),
         ('{"text":"a"', None),
         ('{"text":NaN}', None),
+        ('{"text":"\\ud800"}', None),
+        ('{"text":"\\ud83d\\ude00"}', "\U0001f600"),
+        ('{"text":"a","n":' + "9" * 5000 + "}", "a"),
+        ('{"text":"a","n":1e999}', "a"),
+        ('{"text":1.5}', None),
         ("[]", None),
         ('["a","b"]', None),
         ("", None),
@@ -119,7 +124,7 @@ def test_vector(spark, labels):
         ("[1]", None),
         ('{"softlabel_seq":5}', None),
         ("x", None),
-        ('{"softlabel_seq":[{"A":1,"B":"x"},7,null,{"C":2}]}', [{"A": 1.0}, {"C": 2.0}]),
+        ('{"softlabel_seq":[{"A":1,"B":"x"},7,null,{"C":2}]}', [{"A": 1.0}, None, None, {"C": 2.0}]),
     ],
 )
 def test_positions(spark, document, want):
@@ -128,13 +133,21 @@ def test_positions(spark, document, want):
 
 def test_no_positions_no_vector(spark):
     assert one(spark, '{"softlabel_seq":[]}', lambda c: softlabel.flat_vectors(softlabel.positions(c))) is None
+    # a list of nothing but other values is not empty: it has the end vector
+    assert one(spark, '{"softlabel_seq":[1,"x"]}', lambda c: softlabel.flat_vectors(softlabel.positions(c))) == [1.0] + [0.0] * 38
+    df = spark.createDataFrame([(1, [None, None]), (2, []), (3, None), (4, [None, {"A": 1.0}])], "i int, l array<map<string,double>>")
+    got = {r["i"]: r["v"] for r in softlabel.with_vectors(df, "l", "v").collect()}
+    assert got[1] == [1.0] + [0.0] * 38 and len(got[4]) == 2 * 39 and got.keys() == {1, 4}
+    assert {r["i"]: r["v"] is None for r in softlabel.with_vectors(df, "l", "v", keep_null=True).collect()} == {1: False, 3: True, 4: False}
 
 
 def test_vocabulary_text():
     v = bpe.Vocabulary(["1 'a' 1", "2 b'\\xff' 1", "4 '\\n' 1", "junk", "5 'é' 2", '6 "it\'s" 4'])
     assert v.tokens == [b"\0", b"a", b"\xff", b"", b"\n", "é".encode(), b"it's"] and v.skipped == ["junk"] and len(v) == 7
-    assert v.entries() == {"\0": 0, "a": 1, "[Binary token 2: ff]": 2, "\n": 4, "é": 5, "it's": 6}
-    for bad in ("1 'ab' 1", "70000 'a' 1"):
+    assert v.entries() == {"\0": 0, "a": 1, "[Binary token [255]]": 2, "\n": 4, "é": 5, "it's": 6}
+    assert len(bpe.Vocabulary([])) == 1 and bpe.Vocabulary([" x 3 'ab' 2"]).tokens == [b"\0", b"", b"", b"ab"]
+    assert bpe.Vocabulary([r"1 '\u00e9\x41\101\'' 5"]).tokens[1] == "éAA'".encode()
+    for bad in ("1 'ab' 1", "70000 'a' 1", "1 b'\\xfg' 1", "1 b'\\xf' 1", r"1 '\q' 2", r"1 '\ud800' 3"):
         with pytest.raises(ConfigError):
             bpe.Vocabulary([bad])
 
@@ -154,6 +167,9 @@ def test_decode_turns_encode_round(spark):
     encode, decode = bpe.encoder(spark, v, end=False), bpe.decoder(spark, v)
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", decode(encode("t")).alias("back")).collect()
     assert all(r["t"] == r["back"] for r in got)
+    rows = [[3, 99999, 257, -1], [], [256], None, [200, 201, 195 + 1]]
+    got = spark.createDataFrame([(x,) for x in rows], "x array<int>").coalesce(1).select(decode("x").alias("t")).collect()
+    assert [r["t"] for r in got] == [None if x is None else v.decode(x) for x in rows]
 
 
 def test_magic_prime():

@@ -7,8 +7,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tokenforge.endpoints import Debug, Fasta, Jdbc, KeyValue, Lines, TokenFile, TokenUnit
-from tokenforge.errors import ConfigError, UnsupportedEndpointError
+from tokenforge.endpoints import Debug, Fasta, Fastq, Jdbc, KeyValue, Lines, TokenFile, TokenUnit, Xml
+from tokenforge.errors import ComponentError, ConfigError, UnsupportedEndpointError
 from tokenforge.operators import ids, keyed
 from tokenforge.operators.pipeline import chain, run, sink, source
 from tokenforge.plans import protein
@@ -16,7 +16,7 @@ from tokenforge.plans import text as plans
 from tokenforge.sinks.files import write_fasta
 from tokenforge.sources.fasta import read_fasta, read_fastq
 from tokenforge.sources.lines import read_lines
-from tokenforge.sources.tokenfile import read_tokens, write_tokens
+from tokenforge.sources.tokenfile import line_count, read_tokens, write_tokens
 from tokenforge.sources.xml import plain_xml, read_xml, record_texts
 from tokenforge.streaming.pipeline import stream_lines, stream_to, stream_upserts
 
@@ -53,6 +53,12 @@ def test_fasta(spark, tmp_path):
     got = {(r["id"], r["desc"], r["seq"]) for r in read_fasta(spark, str(tmp_path / "a.*.fa")).collect()}
     assert got == {("i", "one two", "ACGT"), ("j", "x", "AA"), ("", "no id", "C"), ("k", None, ""), ("l", None, "TT")}
     assert read_fasta(spark, str(tmp_path / "none.*.fa"), missing="empty").count() == 0
+    put(tmp_path / "b.1.fa", "garbage line\nmore\n>i\nAC\n>j\nGT\n")
+    put(tmp_path / "b.2.fa", ">k\nAA\n")
+    put(tmp_path / "b.3.fa", "no record")
+    put(tmp_path / "b.4.fa", "")
+    got = {(r["id"], r["desc"], r["seq"]) for r in read_fasta(spark, str(tmp_path / "b.*.fa")).collect()}
+    assert got == {("i", None, "AC"), ("j", None, "GT"), ("k", None, "AA")}
 
 
 def test_fasta_round_trip_and_fastq(spark, tmp_path):
@@ -61,13 +67,34 @@ def test_fasta_round_trip_and_fastq(spark, tmp_path):
     assert sorted(map(tuple, read_fasta(spark, str(tmp_path / "f")).collect()), key=repr) == sorted(rows, key=repr)
     p = put(tmp_path / "q.fq", "@a x\nAC\n+\nII\n@b\nGG\n+\n@@\n")
     assert sorted(map(tuple, read_fastq(spark, p).collect())) == [("a", "x", "AC"), ("b", None, "GG")]
+    many = "".join(f"@r{k} d\n{'ACGT' * (k % 9)}\n+\n@{k}\n" for k in range(300))
+    put(tmp_path / "q2.fq", many)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        got = list(map(tuple, source(spark, Fastq(str(tmp_path / "q*.fq"))).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(got, key=str) == sorted([("a", "x", "AC"), ("b", None, "GG")] + [(f"r{k}", "d", "ACGT" * (k % 9)) for k in range(300)], key=str)
 
 
 def test_xml(spark, tmp_path):
     p = put(tmp_path / "a.xml", '<r><record id="1"><a>x &amp; y</a><b><![CDATA[<z>]]></b></record><record/><!-- <record>n</record> --><record><a> q </a></record></r>')
     assert sorted(map(tuple, read_xml(spark, p, schema="a string, b string").collect()), key=repr) == [("q", None), ("x & y", "<z>")]
     texts = spark.read.text(p, wholetext=True).select(F.explode(record_texts(F.col("value"))).alias("x"))
-    assert [r["x"] for r in texts.select(plain_xml("x").alias("x")).collect()] == ["<record><a>x &amp; y</a><b>&lt;z&gt;</b></record>", "<record><a>q</a></record>"]
+    want = ["<record><a>x &amp; y</a><b>&lt;z&gt;</b></record>", "<record><a>q</a></record>"]
+    assert [r["x"] for r in texts.select(plain_xml("x").alias("x")).collect()] == want
+    assert [r["content"] for r in source(spark, Xml(p, as_text=True)).collect()] == want
+
+
+def test_missing_sources_are_empty_or_errors(spark, tmp_path):
+    none = str(tmp_path / "none")
+    specs = [Lines(none), Fasta(none), Fastq(none), Xml(none), Xml(none, as_text=True), KeyValue(none), TokenFile(none, "x"), TokenFile(none, "x", devices=None)]
+    specs.append(Jdbc("jdbc:derby:memory:nothing;create=true", "NOTHING", "org.apache.derby.iapi.jdbc.AutoloadedDriver"))
+    for spec in specs:
+        assert source(spark, spec, "empty").count() == 0
+        with pytest.raises(Exception):  # noqa: B017
+            source(spark, spec).count()
 
 
 def golden(rows, unit, units, legacy):
@@ -107,6 +134,14 @@ def test_token_file_order_devices_and_ranges(spark, tmp_path):
     assert write_tokens(df, TokenFile(str(tmp_path), "o", context_length=100)) == 53
     back = read_tokens(spark, str(tmp_path / "o_device_0")).where("line >= 1000 and line < 1003").orderBy("line")
     assert [(r["line"], r["tokens"][0]) for r in back.collect()] == [(1000, 1000), (1001, 1001), (1002, 1002)]
+    assert line_count(str(tmp_path / "o_device_0")) == 3000
+    lengths = read_tokens(spark, str(tmp_path / "o_device_0"), index_only=True)
+    assert lengths.columns == ["file", "line", "num_tokens"] and lengths.agg(F.sum("num_tokens")).collect()[0][0] == 6000
+    spec = TokenFile(str(tmp_path), "p", devices=None)
+    write_tokens(df, spec)
+    assert len(list(tmp_path.glob("p_device_*.bin"))) == 5 and not list(tmp_path.glob(".*"))
+    back = source(spark, spec).collect()
+    assert sorted(r["tokens"][0] for r in back) == list(range(3000)) and line_count(spec.files) == 3000
     write_tokens(df, TokenFile(str(tmp_path), "d", devices=7))
     every = read_tokens(spark, ",".join(str(tmp_path / f"d_device_{k}") for k in range(7)))
     assert sorted(r["tokens"][0] for r in every.collect()) == list(range(3000))
@@ -139,6 +174,19 @@ def test_keyed_store(spark, tmp_path):
     store.write(spark.createDataFrame([("a%1", "w")], "key string, value string"), 3)
     assert sorted(map(tuple, store.read(3).collect())) == [("a%1", "w"), ("a_1", "y")]
     assert [r["key"] for r in keyed.scan(store.read(3), "a_").collect()] == ["a_1"]
+    with pytest.raises(ComponentError):
+        store.read(4, missing="error")
+    with pytest.raises(Exception, match="stop"):  # a write that fails changes nothing
+        store.write(spark.createDataFrame([("a_1", "no")], "key string, value string").select("key", F.when(F.col("key") != "", F.raise_error(F.lit("stop"))).otherwise("").alias("value")), 3)
+    assert sorted(map(tuple, store.read(3).collect())) == [("a%1", "w"), ("a_1", "y")]
+    for k in range(20):
+        store.write(spark.createDataFrame([(f"k{k % 7}", str(k))], "key string, value string"), 3)
+    live, old = store._segments(3)
+    assert len(live) <= store.SEGMENTS
+    assert sorted(map(tuple, store.read(3).collect())) == [("a%1", "w"), ("a_1", "y")] + [(f"k{k}", str(k + 14 if k < 6 else 13)) for k in range(7)]
+    rows = spark.createDataFrame([("a_1", 5)], "_key string, _copy int")
+    hits, misses = keyed.lookup(rows, F.col("_key"), store.read(3))
+    assert [tuple(r) for r in hits.collect()] == [("a_1", 5, "y")] and misses.columns == ["_key", "_copy"] and misses.count() == 0
 
 
 def test_dense_ids_and_totals(spark):
@@ -151,6 +199,11 @@ def test_dense_ids_and_totals(spark):
         assert r["before"] == total
         total += r["v"]
     assert ids.dense_ids(df.limit(0), ["k"]).count() == 0
+    clash = spark.range(100).selectExpr("id as k", "id as _part", "'x' as _row", "id as _before").repartition(3)
+    got = ids.dense_ids(clash, ["k"]).collect()
+    assert {(r["k"], r["_part"], r["_row"], r["_before"], r["id"]) for r in got} == {(k, k, "x", k, k) for k in range(100)}
+    arrived = ids.arrival_ids(spark.range(0, 1000, 1, 6).withColumnRenamed("id", "k"), 7).collect()
+    assert all(r["id"] == r["k"] + 7 for r in arrived) and len(arrived) == 1000
 
 
 def test_runner(spark, tmp_path):
@@ -158,6 +211,13 @@ def test_runner(spark, tmp_path):
     spec = TokenFile(str(tmp_path), "b", unit=TokenUnit.U8)
     m = plans.jsonl_to_bytes(spark, Lines(p), [spec, Debug("x: ")])
     assert (m.read, m.sent, m.rejected) == (3, 2, 1)
+    refused = Lines(str(tmp_path / "refused"))
+    assert plans.jsonl_to_bytes(spark, Lines(p), [Debug()], rejects=refused).rejected == 1
+    assert [r["content"] for r in source(spark, refused).collect()] == ["bad"]
+    pair = lambda d: (d.where("content <> 'bad'"), d.where("content = 'bad'"))
+    refused = Lines(str(tmp_path / "refused2"))
+    assert run(spark, [Lines(p)], pair, [Debug()], rejects=refused).rejected == 1
+    assert [r["content"] for r in source(spark, refused).collect()] == ["bad"]
     assert sorted(r["tokens"] for r in source(spark, spec).collect()) == [[97, 98, 3], [195, 169, 3]]
     assert run(spark, [], lambda d: (d, None), [Debug()]).read == 0
     assert run(spark, [Lines(p), Lines(p)], lambda d: (d, None), []).read == 6
@@ -231,7 +291,14 @@ def test_streams(spark, tmp_path):
     stream_to(stream_lines(spark, str(folder), 1), transform, [spec], str(tmp_path / "ck")).awaitTermination()
     files = ",".join(str(p)[:-4] for p in sorted((tmp_path / "out").glob("*.idx")))
     assert sorted(r["tokens"] for r in read_tokens(spark, files, TokenUnit.U8).collect()) == [[97, 98], [99]]
+    for kind, spec in [("l", Lines(str(tmp_path / "l"))), ("f", Fasta(str(tmp_path / "f"))), ("x", Xml(str(tmp_path / "x"))), ("k", KeyValue(str(tmp_path / "k2")))]:
+        put(folder / "c.jsonl", '{"text":"dd"}\n')
+        shape = lambda d: plans.texts(d)[0].select(F.col("text").alias("key"), F.col("text").alias("value"), F.col("text").alias("id"), F.lit(None).cast("string").alias("desc"), F.col("text").alias("seq"))
+        narrow = {"l": ["value"], "f": ["id", "desc", "seq"], "x": ["value"], "k": ["key", "value"]}[kind]
+        stream_to(stream_lines(spark, str(folder), 1), lambda d: (shape(d).select(*narrow), None), [spec], str(tmp_path / f"ck-{kind}")).awaitTermination()  # noqa: B023
+        back = source(spark, spec)
+        assert sorted(r[0] for r in back.collect()) == ["ab", "c", "dd"] and "batch" not in back.columns
     store = keyed.KeyedStore(spark, str(tmp_path / "kv"))
     rows = stream_lines(spark, str(folder)).select(F.lit("k").alias("key"), F.col("content").alias("value"), F.length("content").cast("long").alias("seq"))
     stream_upserts(rows, store, 0, str(tmp_path / "ck2")).awaitTermination()
-    assert [tuple(r) for r in store.read(0).collect()] == [("k", '{"text":"ab"}')]
+    assert [tuple(r) for r in store.read(0).collect()] in ([("k", '{"text":"ab"}')], [("k", '{"text":"dd"}')])

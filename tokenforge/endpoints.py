@@ -54,8 +54,11 @@ class Lines:
 
 @dataclass(frozen=True)
 class Xml:
+    """Records as columns, or as one text each (``as_text``)."""
+
     path: str
     record_tag: str = "record"
+    as_text: bool = False
 
 
 @dataclass(frozen=True)
@@ -63,6 +66,11 @@ class Fasta:
     path: str
 
 
+@dataclass(frozen=True)
+class Fastq:
+    path: str
+
+
 @dataclass(frozen=True)
 class Jdbc:
     """A table of PostgreSQL, MySQL or any database with a JDBC driver on the class path."""
@@ -74,6 +82,8 @@ class Jdbc:
     lower: int | None = None
     upper: int | None = None
     partitions: int | None = None
+    fetch: int = 10_000
+    batch: int = 1_000
 
 
 @dataclass(frozen=True)
@@ -87,21 +97,29 @@ class KeyValue:
 
 @dataclass(frozen=True)
 class TokenFile:
+    """File pairs ``<base_path>/<filename>_device_<n>``; ``devices=None`` makes one of each partition, without copying."""
+
     base_path: str
     filename: str
-    devices: int = 1
+    devices: int | None = 1
     unit: TokenUnit = TokenUnit.U16
     units_per_token: int = 1
     legacy: bool = False
     context_length: int | None = None
 
     def __post_init__(self) -> None:
-        if self.devices < 1 or self.units_per_token < 1:
+        if self.devices is not None and self.devices < 1 or self.units_per_token < 1:
             raise ConfigError("devices and units per token must be positive")
         if self.legacy and (self.unit is not TokenUnit.U16 or self.units_per_token != 1):
             raise ConfigError("the legacy format has one 16-bit unit a token")
         if self.context_length is not None and self.context_length < 1:
             raise ConfigError("the context length must be positive")
 
+    @property
+    def files(self) -> str:
+        """The file pairs of all devices, split by commas."""
+        numbers = ["*"] if self.devices is None else range(self.devices)
+        return ",".join(f"{self.base_path}/{self.filename}_device_{d}" for d in numbers)
+
 
-Endpoint = Debug | Lines | Xml | Fasta | Jdbc | KeyValue | TokenFile
+Endpoint = Debug | Lines | Xml | Fasta | Fastq | Jdbc | KeyValue | TokenFile

@@ -17,13 +17,5 @@ class UnsupportedEndpointError(TokenforgeError):
     """An endpoint used as a source or sink that it cannot be."""
 
 
-class PipelineError(TokenforgeError):
-    """A run that failed."""
-
-
-class TransformError(TokenforgeError):
-    """Rows that a transformation refuses."""
-
-
 class NoComponentError(TokenforgeError):
     """A pipeline without what it needs."""

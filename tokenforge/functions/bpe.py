@@ -2,96 +2,101 @@
 
 from __future__ import annotations
 
-import ast
 import re
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import ConfigError
 
+# Fixed values of the vocabulary format: the grammar of a line and the text that stands in for other bytes.
 _LINE = re.compile(r"(\d+)\s+(b?)(.+)\s+(\d+)")
+_BINARY = "[Binary token {}]"
+_ESCAPES = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "'": "'", '"': '"', "\\": "\\"}
+_ESCAPE = re.compile(r"""\\(?:([bfnrt'"\\])|u([0-9a-fA-F]{4})|x([0-9a-fA-F]{2})|([0-3][0-7]{0,2}|[4-7][0-7]?)|)""")
 #: Appended to encoded documents.
 END_ID = 0
 MOST_ID = 65535
 
 
 def _unescaped(text: str) -> bytes:
-    quoted = re.sub(r'(\\.)|"', lambda m: m[1] or '\\"', text, flags=re.S)
+    def one(m: re.Match) -> str:
+        plain, long, octal = m[1], m[2] or m[3], m[4]
+        if plain:
+            return _ESCAPES[plain]
+        if not long and not octal:
+            raise ConfigError(f"a bad escape in {text!r}")
+        return chr(int(long, 16) if long else int(octal, 8))
+
     try:
-        return ast.literal_eval(f'"{quoted}"').encode("utf-8", "surrogatepass")
-    except (SyntaxError, ValueError):
-        return text.encode()
+        return _ESCAPE.sub(one, text).encode()
+    except UnicodeEncodeError as e:
+        raise ConfigError(f"half a character in {text!r}") from e
 
 
-def _hex(text: str) -> bytes | None:
+def _hex(text: str) -> bytes:
     digits = text.replace("\\x", "")
-    try:
-        return bytes.fromhex(digits) if len(digits) % 2 == 0 else None
-    except ValueError:
-        return None
+    if len(digits) % 2 or not re.fullmatch("[0-9a-fA-F]*", digits):
+        raise ConfigError(f"bad hex in {text!r}")
+    return bytes.fromhex(digits)
 
 
 class Vocabulary:
     """Tokens by id, from lines ``id 'token' length`` or ``id b'\\xNN' length``.
 
-    Lines that do not parse are kept in ``skipped``; a wrong length or an id beyond 16 bits is an error.  Gaps are empty.
+    Lines that do not parse are kept in ``skipped``; bad hex, a bad escape, a wrong length or an id beyond 16 bits is an
+    error.  Gaps are empty.  Of lines with one id the last names the token, but all of them are matched.
     """
 
     def __init__(self, lines: list[str]) -> None:
         self.skipped: list[str] = []
-        found: dict[int, bytes] = {}
+        found: dict[int, bytes] = {0: b"\0"}  # the end of a document
+        self._ids: dict[bytes, int] = {}
         for line in lines:
-            m = _LINE.match(line.rstrip("\r\n"))
+            m = _LINE.search(line.rstrip("\r\n"))
             if not m:
                 self.skipped.append(line)
                 continue
-            number, binary, body, length = int(m[1]), m[2], m[3].strip(), int(m[4])
-            if body[:1] in "'\"":
-                body = body[1:]
-            if body[-1:] in ("'", '"'):
-                body = body[:-1]
-            token = _hex(body) if binary else _unescaped(body)
-            if token is None:
-                self.skipped.append(line)
-                continue
+            number, binary, quoted, length = int(m[1]), m[2], m[3], int(m[4])
+            if len(quoted) < 2:
+                raise ConfigError(f"token {number} has no quotes")
+            token = _hex(quoted[1:-1]) if binary else _unescaped(quoted[1:-1])
             if len(token) != length:
                 raise ConfigError(f"token {number} has {len(token)} bytes, not {length}")
             if number > MOST_ID:
                 raise ConfigError(f"id {number} does not fit 16 bits")
             found[number] = token
-        self.tokens = [found.get(i, b"") for i in range(max(found, default=-1) + 1)]
-        if self.tokens and 0 not in found:
-            self.tokens[0] = b"\0"  # the end of a document
-        self._matcher = None
+            self._ids[token] = number
+        self.tokens = [found.get(i, b"") for i in range(max(found) + 1)]
+        self._matcher = self._bytes = None
 
     def __len__(self) -> int:
         return len(self.tokens)
 
     def entries(self) -> dict[str, int]:
-        """Token text to id; bytes that are no text have a stand-in, empty tokens are left out."""
+        """Token text to id; bytes that are no text are shown as a list of numbers, empty tokens are left out."""
         out: dict[str, int] = {}
         for i, t in enumerate(self.tokens):
             if t:
                 try:
                     out[t.decode()] = i
                 except UnicodeDecodeError:
-                    out[f"[Binary token {i}: {t.hex()}]"] = i
+                    out[_BINARY.format(list(t))] = i
         return out
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_matcher": None}  # workers build their own
+        return self.__dict__ | {"_matcher": None, "_bytes": None}  # workers build their own
 
     def _match(self):
         """Leftmost longest matches over bytes seen as Latin-1.  Id 0 ends no match; of equal tokens the last id wins."""
         if self._matcher is None:
             self._matcher = ahocorasick.Automaton()
-            for i, t in enumerate(self.tokens):
+            for t, i in self._ids.items():
                 if i and t:
                     self._matcher.add_word(t.decode("latin-1"), (i, len(t)))
             self._matcher.make_automaton()
@@ -100,7 +105,7 @@ class Vocabulary:
     def encode(self, raw: bytes, end: bool = True) -> list[int]:
         """Ids of the longest matches one after the other; the first byte without a match ends the text."""
         out, at = [], 0
-        if raw and any(self.tokens[1:]):
+        if raw and any(t and i for t, i in self._ids.items()):
             for last, (i, size) in self._match().iter_long(raw.decode("latin-1")):
                 if last - size + 1 != at:
                     break
@@ -115,25 +120,42 @@ class Vocabulary:
         tokens, n = self.tokens, len(self.tokens)
         return b"".join([tokens[i] for i in ids if 0 <= i < n]).decode("utf-8", "replace")
 
+    def decode_all(self, flat: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """The texts of many rows of ids, laid end to end in ``flat``: bytes are gathered at once from the tokens' bytes."""
+        if self._bytes is None:
+            own = np.array([len(t) for t in self.tokens] + [0], np.int64)
+            self._bytes = np.frombuffer(b"".join(self.tokens), np.uint8), np.concatenate(([0], np.cumsum(own)[:-1])), own
+        data, starts, lengths = self._bytes
+        n = len(self.tokens)
+        at = np.where((flat >= 0) & (flat < n), flat, n)
+        long = lengths[at]
+        ends = np.concatenate(([0], np.cumsum(long)))
+        place = np.arange(ends[-1]) - np.repeat(ends[:-1] - starts[at], long)
+        raw = data[place].tobytes()
+        edges = ends[np.concatenate(([0], np.cumsum(sizes)))]
+        return [raw[a:b].decode("utf-8", "replace") for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
     def frame(self, spark: SparkSession) -> DataFrame:
         """``(token, id)`` of the vocabulary."""
         return spark.createDataFrame(list(self.entries().items()), "token string, id int")
 
 
 def load_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
-    """The vocabulary of a text file in any storage that Spark reads (at most 65,536 entries)."""
-    return Vocabulary([r["value"] for r in spark.read.text(path, lineSep="\n").limit(1 << 20).collect()])
+    """The vocabulary of a text file in any storage that Spark reads; ids of 16 bits bound its entries."""
+    return Vocabulary([r["value"] for r in spark.read.text(path, lineSep="\n").collect()])
 
 
 def encoder(spark: SparkSession, vocabulary: Vocabulary, end: bool = True):
     """A function from a text column to token ids."""
     shared = spark.sparkContext.broadcast(vocabulary)
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         v = shared.value
-        for s in texts:
-            yield s.map(lambda t: np.array(v.encode(t.encode(), end), np.int32), na_action="ignore")
+        for column in texts:
+            rows = column.to_pylist()
+            ids = [None if t is None else v.encode(t.encode(), end) for t in rows]
+            yield pa.array(ids, pa.list_(pa.int32()))
 
     return encode
 
@@ -142,11 +164,13 @@ def decoder(spark: SparkSession, vocabulary: Vocabulary):
     """A function from a column of token ids to text."""
     shared = spark.sparkContext.broadcast(vocabulary)
 
-    @F.pandas_udf(T.StringType())
-    def decode(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.StringType())
+    def decode(ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
         v = shared.value
-        for s in ids:
-            yield s.map(lambda x: v.decode(x.tolist()), na_action="ignore")
+        for column in ids:
+            flat = column.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+            sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            yield pa.array([t if there else None for t, there in zip(v.decode_all(flat, sizes), column.is_valid().to_pylist(), strict=True)], pa.string())
 
     return decode
 
@@ -155,7 +179,3 @@ def byte_vocabulary(merges: list[str] = ()) -> Vocabulary:
     """All single bytes under the ids 1 to 256, then ``merges``."""
     lines = [f"{b + 1} b'\\x{b:02x}' 1" for b in range(256)]
     return Vocabulary(lines + [f"{257 + i} {m!r} {len(m.encode())}" for i, m in enumerate(merges)])
-
-
-def encode_column(spark: SparkSession, text: Column, vocabulary: Vocabulary, end: bool = True) -> Column:
-    return encoder(spark, vocabulary, end)(text)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,30 +21,41 @@ class _Object(list):
     """The pairs of a JSON object."""
 
 
+class _Number(str):
+    """A number as it is written: of any length, and told apart from texts."""
+
+
+#: Escapes of half a character; the other half would have been joined to it.
+_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
 def _refuse(constant: str) -> None:
     raise ValueError(constant)
 
 
 def _strict_text(line: str | None) -> str | None:
     try:
-        value = json.loads(line, object_pairs_hook=_Object, parse_constant=_refuse)
+        value = json.loads(line, object_pairs_hook=_Object, parse_constant=_refuse, parse_int=_Number, parse_float=_Number)
     except (ValueError, TypeError, RecursionError):
         return None
     if isinstance(value, _Object):
         found = [v for k, v in value if k == "text"]
     else:
         found = value if isinstance(value, list) else []
-    return found[0] if len(found) == 1 and isinstance(found[0], str) else None
+    if len(found) != 1 or type(found[0]) is not str or _SURROGATE.search(found[0]):
+        return None
+    return found[0]
 
 
 @F.pandas_udf(T.StringType())
 def strict_text(lines: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """``text`` of ``{"text": "..."}`` or ``["..."]``.
 
-    NULL where it is missing, not a string or doubled, and where the line is not one JSON value from end to end.
+    NULL where it is missing, not a string, doubled or holds half a surrogate pair, and where the line is not one JSON value
+    from end to end.
     """
     for s in lines:
-        yield s.map(_strict_text, na_action="ignore").astype(object).where(s.notna(), None)
+        yield pd.Series([_strict_text(x) for x in s], dtype=object)
 
 
 def text_field(line: Column) -> Column:

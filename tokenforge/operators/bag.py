@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..errors import NoComponentError
 from ..functions.text import END
+from ..storage import unused
 
 
 def union(frames: list[DataFrame]) -> DataFrame:
@@ -24,8 +25,13 @@ def union(frames: list[DataFrame]) -> DataFrame:
 
 def mixture(parts: list[tuple[DataFrame, int]]) -> DataFrame:
     """Each frame's rows as often as its weight says; a frame is scanned once."""
-    weighted = [df if k == 1 else df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(k)))).drop("_copy") for df, k in parts if k > 0]
-    return union(weighted)
+
+
+    def repeated(df: DataFrame, k: int) -> DataFrame:
+        copy = unused(df, "_copy")
+        return df.withColumn(copy, F.explode(F.sequence(F.lit(1), F.lit(k)))).drop(copy)
+
+    return union([df if k == 1 else repeated(df, k) for df, k in parts if k > 0])
 
 
 def first_rows(df: DataFrame, n: int = 5) -> DataFrame:

@@ -15,11 +15,11 @@ from ..errors import UnsupportedEndpointError
 from ..functions.text import display_pair
 from ..sinks.files import debug, write_fasta, write_lines, write_xml
 from ..sinks.jdbc import write_jdbc
-from ..sources.fasta import read_fasta
+from ..sources.fasta import read_fasta, read_fastq
 from ..sources.jdbc import read_jdbc
 from ..sources.lines import read_lines
 from ..sources.tokenfile import read_tokens, write_tokens
-from ..sources.xml import read_xml
+from ..sources.xml import read_xml, read_xml_texts
 from ..storage import dropped, stored
 from .bag import union
 from .keyed import KeyedStore, scan
@@ -41,21 +41,24 @@ class Metrics:
 
 
 def source(spark: SparkSession, spec: E.Endpoint, missing: str = "error") -> DataFrame:
-    """The rows of an endpoint."""
+    """The rows of an endpoint.  ``missing="empty"``: what does not exist has no rows; else it is an error."""
     match spec:
         case E.Lines():
             return read_lines(spark, spec.path, spec.limit, missing)
         case E.Fasta():
             return read_fasta(spark, spec.path, missing)
         case E.Xml():
-            return read_xml(spark, spec.path, spec.record_tag)
+            if spec.as_text:
+                return read_xml_texts(spark, spec.path, spec.record_tag, missing)
+            return read_xml(spark, spec.path, spec.record_tag, missing=missing)
+        case E.Fastq():
+            return read_fastq(spark, spec.path, missing)
         case E.Jdbc():
-            return read_jdbc(spark, spec)
+            return read_jdbc(spark, spec, missing)
         case E.KeyValue():
-            return scan(KeyedStore(spark, spec.path).read(spec.db), spec.prefix)
+            return scan(KeyedStore(spark, spec.path).read(spec.db, missing), spec.prefix)
         case E.TokenFile():
-            files = ",".join(f"{spec.base_path}/{spec.filename}_device_{d}" for d in range(spec.devices))
-            return read_tokens(spark, files, spec.unit, spec.units_per_token)
+            return read_tokens(spark, spec.files, spec.unit, spec.units_per_token, missing)
     raise UnsupportedEndpointError(f"{type(spec).__name__} is no source")
 
 
@@ -82,8 +85,17 @@ def sink(df: DataFrame, spec: E.Endpoint) -> int | None:
     return None
 
 
-#: A transformation returns the rows to send and the rows it refuses.
-Transform = Callable[[DataFrame], tuple[DataFrame, DataFrame | None]]
+#: The column of a flagged frame that says what was refused, NULL in rows to send.
+REFUSED = "refused"
+#: A transformation returns one flagged frame, or the rows to send and the rows it refuses.
+Transform = Callable[[DataFrame], DataFrame | tuple[DataFrame, DataFrame | None]]
+
+
+def split(result: DataFrame | tuple[DataFrame, DataFrame | None]) -> tuple[DataFrame, DataFrame | None]:
+    """(rows to send, refused rows) of what a transformation returns."""
+    if isinstance(result, tuple):
+        return result
+    return result.where(F.col(REFUSED).isNull()).drop(REFUSED), result.where(F.col(REFUSED).isNotNull()).select(REFUSED)
 
 
 def run(
@@ -93,12 +105,14 @@ def run(
     outputs: list[E.Endpoint],
     missing: str = "error",
     finish: Callable[[DataFrame], DataFrame] | None = None,
+    rejects: E.Endpoint | None = None,
 ) -> Metrics:
     """Union the sources, transform, and write to every sink.
 
-    Without inputs nothing happens; without outputs the inputs are counted and not transformed.  With several sinks the
-    transformed rows are stored once and read by each; ``finish`` (a numbering, say, that reads its input more than once)
-    is applied to the stored rows.
+    Without inputs nothing happens; without outputs the inputs are counted and not transformed.  Transformed rows are
+    stored once and read by each sink; ``finish`` (a numbering, say, that reads its input more than once) is applied to
+    the stored rows.  Refused rows go to ``rejects`` where one is given.  A flagged frame is computed in one pass over the
+    sources, a pair of frames in one pass each.
     """
     out, began = Metrics(), time.monotonic()
     if not inputs:
@@ -109,17 +123,36 @@ def run(
         out.seconds = time.monotonic() - began
         return out
     reading = Observation()
-    good, bad = transform(bag.observe(reading, F.count(F.lit(1)).alias("n")))
-    table, path = stored(good, "pipeline")
-    out.read, out.sent = reading.get["n"], table.count()
-    out.rejected = bad.count() if bad is not None else 0
-    if finish is not None:
-        table = finish(table)
-    for spec in outputs:
-        prime = sink(table, spec)
-        if prime is not None:
-            out.primes.append(prime)
-    dropped(spark, path)
+    result = transform(bag.observe(reading, F.count(F.lit(1)).alias("n")))
+    paths = []
+
+    def kept(df: DataFrame) -> DataFrame:
+        df, path = stored(df, "pipeline")
+        paths.append(path)
+        return df
+
+    try:
+        if isinstance(result, tuple):
+            good, bad = kept(result[0]), result[1]
+            out.read = reading.get["n"]
+            bad = kept(bad) if bad is not None else None
+        else:
+            good, bad = split(kept(result))
+            out.read = reading.get["n"]
+        out.sent = good.count()
+        if bad is not None:
+            out.rejected = bad.count()
+            if rejects is not None:
+                sink(bad, rejects)
+        if finish is not None:
+            good = finish(good)
+        for spec in outputs:
+            prime = sink(good, spec)
+            if prime is not None:
+                out.primes.append(prime)
+    finally:
+        for path in paths:
+            dropped(spark, path)
     out.seconds = time.monotonic() - began
     return out
 

@@ -10,36 +10,33 @@ from ..functions import bpe, text
 from ..functions.json import strict_text, u16_tokens
 from ..functions.json import tokens_text as as_text
 from ..operators.bag import byte_histogram, first_rows
-from ..operators.pipeline import Metrics, run
+from ..operators.pipeline import REFUSED, Metrics, run, split
 from ..sinks.files import write_histogram
 from ..sources.lines import read_lines
+from ..storage import spread
+
+
+def flagged_texts(lines: DataFrame) -> DataFrame:
+    """``text`` of good JSON lines, and refused lines as they are."""
+    parsed = spread(lines.select("content")).select("content", strict_text("content").alias("text"))
+    return parsed.select("text", F.when(F.col("text").isNull(), F.coalesce("content", F.lit(""))).alias(REFUSED))
 
 
 def texts(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(``text`` of good JSON lines, refused lines)."""
-    parsed = lines.withColumn("text", strict_text("content"))
-    return parsed.where("text is not null").select("text"), parsed.where("text is null").select("content")
+    return split(flagged_texts(lines))
 
 
-def jsonl_to_tokens(spark: SparkSession, source: Lines, vocabulary: bpe.Vocabulary, outputs: list[Endpoint]) -> Metrics:
+def jsonl_to_tokens(spark: SparkSession, source: Lines, vocabulary: bpe.Vocabulary, outputs: list[Endpoint], rejects: Endpoint | None = None) -> Metrics:
     """JSON lines to longest-match tokens with an end token, into 16-bit token files."""
     encode = bpe.encoder(spark, vocabulary)
+    return run(spark, [source], lambda lines: flagged_texts(lines).select(encode("text").alias("tokens"), REFUSED), outputs, rejects=rejects)
 
-    def transform(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-        good, bad = texts(lines)
-        return good.select(encode("text").alias("tokens")), bad
-
-    return run(spark, [source], transform, outputs)
 
-
-def jsonl_to_bytes(spark: SparkSession, source: Lines, outputs: list[Endpoint]) -> Metrics:
+def jsonl_to_bytes(spark: SparkSession, source: Lines, outputs: list[Endpoint], rejects: Endpoint | None = None) -> Metrics:
     """JSON lines to UTF-8 bytes with an end-of-document byte, into 8-bit token files."""
-
-    def transform(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-        good, bad = texts(lines)
-        return good.select(text.utf8(text.with_end(F.col("text"))).alias("tokens")), bad
-
-    return run(spark, [source], transform, outputs)
+    ended = text.utf8(text.with_end(F.col("text"))).alias("tokens")
+    return run(spark, [source], lambda lines: flagged_texts(lines).select(ended, REFUSED), outputs, rejects=rejects)
 
 
 def tokens_to_debug(spark: SparkSession, source: TokenFile, sink: Debug, n: int = 5) -> Metrics:

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..endpoints import Jdbc
 from ..errors import ConfigError
 
 
-def read_jdbc(spark: SparkSession, spec: Jdbc, fetch: int = 10_000) -> DataFrame:
+def read_jdbc(spark: SparkSession, spec: Jdbc, missing: str = "error") -> DataFrame:
     """``SELECT *`` of a table; columns and predicates are pushed down.
 
-    With a partition column and its bounds the scan is split into ``partitions`` range queries.
+    With a partition column and its bounds the scan is split into ``partitions`` range queries.  With ``missing="empty"``
+    a table that cannot be described has no rows and no columns.
     """
-    reader = spark.read.format("jdbc").option("url", spec.url).option("dbtable", spec.table).option("fetchsize", fetch)
+    reader = spark.read.format("jdbc").option("url", spec.url).option("dbtable", spec.table).option("fetchsize", spec.fetch)
     if spec.driver:
         reader = reader.option("driver", spec.driver)
     if spec.partition_column:
@@ -25,4 +29,9 @@ def read_jdbc(spark: SparkSession, spec: Jdbc, fetch: int = 10_000) -> DataFrame
             .option("upperBound", spec.upper)
             .option("numPartitions", spec.partitions)
         )
-    return reader.load()
+    try:
+        return reader.load()
+    except (Py4JJavaError, PySparkException):
+        if missing != "empty":
+            raise
+        return spark.createDataFrame([], StructType([]))

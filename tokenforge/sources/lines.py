@@ -22,5 +22,5 @@ def read_lines(spark: SparkSession, path: str, limit: int | None = None, missing
     content = F.regexp_replace("value", "\r$", "").alias("content")
     if limit is None:
         return lines.select(content)
-    placed = lines.select(content, F.monotonically_increasing_id().alias("_place"))
-    return placed.orderBy("_place").limit(limit).drop("_place")
+    placed = lines.select(content, "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place"))
+    return placed.orderBy("file_path", "file_block_start", "place").limit(limit).select("content")

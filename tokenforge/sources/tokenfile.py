@@ -1,16 +1,20 @@
 """Indexed token files (``.bin`` and ``.idx``) as a Spark data source, to read and to write.
 
 Reading: the driver reads a header of fixed size; tasks get ranges of lines and read their own parts of index and data.
-Filters on ``line`` bound the ranges.  Writing: each task writes a shard of its own, ``commit`` lays the shards of a
-device one after the other in partition order and writes its index; a task that runs again writes another shard, and
-only committed ones are used.  With ``devices`` = the number of partitions no shard is copied, only renamed.
+Filters on ``line`` bound the ranges.  Writing: each task writes a shard of its own, ``commit`` names the shards that
+count, and then one task a device lays its shards one after the other in partition order and writes its index.  A task
+that runs again writes another shard or file, and only committed ones are used.  Without a number of devices each
+partition is one: no shard is copied, only renamed.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import uuid
 from collections.abc import Iterator
+from contextlib import nullcontext
 from dataclasses import dataclass
 from pathlib import PurePosixPath
 
@@ -85,13 +89,34 @@ class _Range(InputPartition):
         self.path, self.start, self.stop, self.head, self.first = path, start, stop, head, first
 
 
-def _schema(unit: str) -> str:
-    return f"file string, line long, num_tokens long, tokens array<{'float' if unit == 'f32' else 'int'}>"
+def _schema(unit: str, index_only: bool = False) -> str:
+    tokens = "" if index_only else f", tokens array<{'float' if unit == 'f32' else 'int'}>"
+    return f"file string, line long, num_tokens long{tokens}"
+
+
+def _existing(paths: list[str], missing: str) -> list[str]:
+    """``paths`` with ``*`` in file names expanded; those without an index are left out where ``missing`` is ``empty``."""
+    out = []
+    for path in paths:
+        fs, base = storage(path + ".idx")
+        folder, _, name = base.rpartition("/")
+        if "*" in name:
+            pattern = re.compile(re.escape(name).replace(r"\*", "(.*)"))
+            found = [PurePosixPath(f.path).name for f in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True))]
+            number = lambda n: [int(x) if x.isdigit() else 0 for x in pattern.fullmatch(n).groups()]
+            found = sorted((n for n in found if pattern.fullmatch(n)), key=lambda n: (number(n), n))
+            if not found and missing != "empty":
+                raise ConfigError(f"no index matches {path}")
+            out += [path.rpartition("/")[0] + "/" + n[: -len(".idx")] for n in found]
+        elif missing != "empty" or fs.get_file_info(base).type != pafs.FileType.NotFound:
+            out.append(path)
+    return out
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
-        self.paths = [p for p in options["path"].split(",") if p]
+        self.paths = _existing([p for p in options["path"].split(",") if p], options.get("missing", "error"))
+        self.index_only = options.get("columns") == "index"
         self.expect = TokenUnit[options["unit"].upper()] if "unit" in options else None
         self.units = int(options["unitspertoken"]) if "unitspertoken" in options else None
         self.lines = int(options.get("linespertask", LINES_A_TASK))
@@ -127,7 +152,7 @@ class _Reader(DataSourceReader):
         (fs, idx), (_, data) = storage(partition.path + ".idx"), storage(partition.path + ".bin")
         kind = pa.float32() if head.unit is TokenUnit.F32 else pa.int32()
         size = fs.get_file_info(data).size
-        with fs.open_input_file(idx) as index, fs.open_input_file(data) as body:
+        with fs.open_input_file(idx) as index, nullcontext() if self.index_only else fs.open_input_file(data) as body:
             for lo in range(partition.start, partition.stop, LINES_A_BATCH):
                 hi = min(lo + LINES_A_BATCH, partition.stop)
                 counts = np.frombuffer(index.read_at(4 * (hi - lo), head.size + 4 * lo), "<u4").astype(np.int64)
@@ -136,20 +161,17 @@ class _Reader(DataSourceReader):
                 good = np.flatnonzero(ends <= size)  # lines beyond the file's end are left out
                 if not len(good):
                     continue
+                known = [pa.array([partition.path] * len(good)), pa.array(good + lo, pa.int64()), pa.array(counts[good])]
+                if self.index_only:
+                    yield pa.RecordBatch.from_arrays(known, names=["file", "line", "num_tokens"])
+                    continue
                 start, stop = int(offsets[good].min()), int(ends[good].max())
                 raw = body.read_at(stop - start, start)
                 parts = [np.frombuffer(raw[offsets[i] - start : ends[i] - start], head.unit.dtype) for i in good]
                 flat = np.concatenate(parts).astype(kind.to_pandas_dtype())
                 edges = np.concatenate(([0], np.cumsum(counts[good] * head.units)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([partition.path] * len(good)),
-                        pa.array(good + lo, pa.int64()),
-                        pa.array(counts[good]),
-                        pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat, kind)),
-                    ],
-                    names=["file", "line", "num_tokens", "tokens"],
-                )
+                tokens = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat, kind))
+                yield pa.RecordBatch.from_arrays([*known, tokens], names=["file", "line", "num_tokens", "tokens"])
 
 
 class _Shard(WriterCommitMessage):
@@ -177,14 +199,15 @@ class _Writer(DataSourceArrowWriter):
         self.spec = TokenFile(
             options["path"].rstrip("/"),
             options["filename"],
-            int(options.get("devices", 1)),
+            int(options["devices"]) if "devices" in options else None,
             TokenUnit[options.get("unit", "u16").upper()],
             int(options.get("unitspertoken", 1)),
             options.get("legacy", "false").lower() == "true",
             int(options["contextlength"]) if "contextlength" in options else None,
         )
         self.at = schema.fieldNames().index("tokens") if "tokens" in schema.fieldNames() else 0
-        self.job = uuid.uuid4().hex
+        self.job = options.get("job") or uuid.uuid4().hex
+        self.later = "job" in options
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> _Shard:
         from pyspark import TaskContext
@@ -222,41 +245,56 @@ class _Writer(DataSourceArrowWriter):
         spec = self.spec
         fs, base = storage(spec.base_path)
         fs.create_dir(base, recursive=True)
-        shards = sorted((m for m in messages if m is not None), key=lambda m: m.partition)
-        width = spec.unit.size * spec.units_per_token
-        for d in range(spec.devices):
-            own = shards[d :: spec.devices]
-            target = f"{base}/{spec.filename}_device_{d}"
-            if len(own) == 1:
-                fs.move(f"{base}/{own[0].name}.bin", f"{target}.bin")
-            else:
-                with fs.open_output_stream(f"{target}.bin") as out:
-                    for m in own:
-                        _copy(fs, f"{base}/{m.name}.bin", out)
-            lines = sum(m.lines for m in own)
-            with fs.open_output_stream(f"{target}.idx") as out:
-                out.write(header(lines, spec.unit, spec.units_per_token, spec.legacy))
-                for m in own:
-                    _copy(fs, f"{base}/{m.name}.len", out)
-                at = 0
-                for m in own:
-                    with fs.open_input_stream(f"{base}/{m.name}.len") as f:
-                        while raw := f.read(1 << 22):
-                            ends = np.cumsum(np.frombuffer(raw, "<u4").astype(np.int64) * width)
-                            out.write((at + np.concatenate(([0], ends[:-1]))).astype("<u8").tobytes())
-                            at += int(ends[-1])
-                out.write(struct.pack("<Q", at))
-                for lo in range(0, lines + 1, 1 << 20):
-                    out.write(np.arange(lo, min(lo + (1 << 20), lines + 1), dtype="<u8").tobytes())
-        self._clear(fs, base)
+        shards = [(m.name, m.lines) for m in sorted((m for m in messages if m is not None), key=lambda m: m.partition)]
+        devices = spec.devices or max(1, len(shards))
+        if self.later:
+            with fs.open_output_stream(f"{base}/.{self.job}-shards") as out:
+                out.write(json.dumps([devices, shards]).encode())
+            return
+        for d in range(devices):
+            _lay(spec, self.job, d, shards[d::devices])
+        _clear(spec, self.job)
 
     def abort(self, messages: list[_Shard | None]) -> None:
-        self._clear(*storage(self.spec.base_path))
-
-    def _clear(self, fs: pafs.FileSystem, base: str) -> None:
-        for f in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
-            if PurePosixPath(f.path).name.startswith(f".{self.job}-"):
-                fs.delete_file(f.path)
+        _clear(self.spec, self.job)
+
+
+def _clear(spec: TokenFile, job: str) -> None:
+    fs, base = storage(spec.base_path)
+    for f in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
+        if PurePosixPath(f.path).name.startswith(f".{job}-"):
+            fs.delete_file(f.path)
+
+
+def _lay(spec: TokenFile, job: str, device: int, shards: list[tuple[str, int]]) -> None:
+    """The file pair of a device from its shards ``(name, lines)``; it appears by renaming, and may be made again."""
+    fs, base = storage(spec.base_path)
+    target, own = f"{base}/{spec.filename}_device_{device}", f"{base}/.{job}-{uuid.uuid4().hex}"
+    width, lines = spec.unit.size * spec.units_per_token, sum(n for _, n in shards)
+    with fs.open_output_stream(f"{own}.idx") as out:
+        out.write(header(lines, spec.unit, spec.units_per_token, spec.legacy))
+        for name, _ in shards:
+            _copy(fs, f"{base}/{name}.len", out)
+        at = 0
+        for name, _ in shards:
+            with fs.open_input_stream(f"{base}/{name}.len") as f:
+                while raw := f.read(1 << 22):
+                    ends = np.cumsum(np.frombuffer(raw, "<u4").astype(np.int64) * width)
+                    out.write((at + np.concatenate(([0], ends[:-1]))).astype("<u8").tobytes())
+                    at += int(ends[-1])
+        out.write(struct.pack("<Q", at))
+        for lo in range(0, lines + 1, 1 << 20):
+            out.write(np.arange(lo, min(lo + (1 << 20), lines + 1), dtype="<u8").tobytes())
+    if len(shards) == 1:
+        # renamed by an attempt before this one
+        if fs.get_file_info(f"{base}/{shards[0][0]}.bin").type != pafs.FileType.NotFound:
+            fs.move(f"{base}/{shards[0][0]}.bin", f"{target}.bin")
+    else:
+        with fs.open_output_stream(f"{own}.bin") as out:
+            for name, _ in shards:
+                _copy(fs, f"{base}/{name}.bin", out)
+        fs.move(f"{own}.bin", f"{target}.bin")
+    fs.move(f"{own}.idx", f"{target}.idx")
 
 
 def _copy(fs: pafs.FileSystem, source: str, out) -> None:
@@ -271,14 +309,18 @@ def _plain(options) -> dict[str, str]:
 
 
 class TokenFileSource(DataSource):
-    """``tokenfile``: options unit (u8, u16, f32), unitsPerToken, filename, devices, legacy, contextLength, linesPerTask."""
+    """``tokenfile``: options unit (u8, u16, f32), unitsPerToken, filename, devices, legacy, contextLength, linesPerTask.
+
+    ``columns=index`` reads lines and their lengths without the data, ``missing=empty`` passes over files that do not exist.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "tokenfile"
 
     def schema(self) -> str:
-        return _schema(self.options.get("unit", "u16").lower())
+        options = _plain(self.options)
+        return _schema(options.get("unit", "u16").lower(), options.get("columns") == "index")
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return _Reader(_plain(self.options))
@@ -292,10 +334,24 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(TokenFileSource)
 
 
-def read_tokens(spark: SparkSession, path: str, unit: TokenUnit = TokenUnit.U16, units_per_token: int = 1) -> DataFrame:
-    """``(file, line, num_tokens, tokens)`` of the file pair ``path.idx`` and ``path.bin`` (several split by commas)."""
+def read_tokens(
+    spark: SparkSession, path: str, unit: TokenUnit = TokenUnit.U16, units_per_token: int = 1, missing: str = "error", index_only: bool = False
+) -> DataFrame:
+    """``(file, line, num_tokens, tokens)`` of the file pair ``path.idx`` and ``path.bin`` (several split by commas; ``*``
+    in the name stands for any).  ``index_only``: without ``tokens``, and the data is not read."""
     register(spark)
-    return spark.read.format("tokenfile").options(unit=unit.name.lower(), unitsPerToken=units_per_token).load(path)
+    options = {"unit": unit.name.lower(), "unitsPerToken": units_per_token, "missing": missing, "columns": "index" if index_only else "all"}
+    return spark.read.format("tokenfile").options(**options).load(path)
+
+
+def line_count(path: str) -> int:
+    """The number of lines of file pairs, from the fixed part of each index alone."""
+    total = 0
+    for p in _existing([p for p in path.split(",") if p], "error"):
+        fs, base = storage(p + ".idx")
+        with fs.open_input_file(base) as f:
+            total += Header.parse(f.read(38)).lines
+    return total
 
 
 def write_tokens(df: DataFrame, spec: TokenFile) -> int | None:
@@ -304,10 +360,24 @@ def write_tokens(df: DataFrame, spec: TokenFile) -> int | None:
 
     spark = df.sparkSession
     register(spark)
-    options = {"path": spec.base_path, "filename": spec.filename, "devices": spec.devices, "unit": spec.unit.name.lower(), "unitsPerToken": spec.units_per_token, "legacy": str(spec.legacy).lower()}
+    job = uuid.uuid4().hex
+    options = {"path": spec.base_path, "filename": spec.filename, "unit": spec.unit.name.lower(), "unitsPerToken": spec.units_per_token, "legacy": str(spec.legacy).lower(), "job": job}
+    if spec.devices is not None:
+        options["devices"] = spec.devices
     df.select("tokens").write.format("tokenfile").mode("append").options(**options).save()
+    fs, base = storage(spec.base_path)
+    with fs.open_input_stream(f"{base}/.{job}-shards") as f:
+        devices, shards = json.loads(f.read())
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for d in b.column(0).to_pylist():
+                _lay(spec, job, d, shards[d::devices])
+            yield b
+
+    spark.range(0, devices, 1, devices).mapInArrow(lay, "id long").foreach(lambda _: None)
+    _clear(spec, job)
     if spec.context_length is None:
         return None
-    files = ",".join(f"{spec.base_path}/{spec.filename}_device_{d}" for d in range(spec.devices))
-    total = read_tokens(spark, files, spec.unit, spec.units_per_token).agg(F.sum("num_tokens").alias("n")).collect()[0]["n"] or 0
-    return magic_prime(total, spec.context_length)
+    lengths = read_tokens(spark, spec.files, spec.unit, spec.units_per_token, index_only=True)
+    return magic_prime(lengths.agg(F.sum("num_tokens").alias("n")).collect()[0]["n"] or 0, spec.context_length)

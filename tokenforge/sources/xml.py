@@ -10,12 +10,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 
-def read_xml(spark: SparkSession, path: str, tag: str = "record", schema: str | None = None) -> DataFrame:
+def read_xml(spark: SparkSession, path: str, tag: str = "record", schema: str | None = None, missing: str = "error") -> DataFrame:
     """The child elements of every ``tag`` element as columns; attributes are dropped, and so are empty records."""
-    reader = spark.read.format("xml").option("rowTag", tag).option("ignoreSurroundingSpaces", "true").option("excludeAttribute", "true")
-    df = (reader.schema(schema) if schema else reader.option("inferSchema", "false")).load(path)
+    reader = spark.read.format("xml").option("rowTag", tag).option("ignoreSurroundingSpaces", "true").option("excludeAttribute", "true").option("recursiveFileLookup", "true")
+    try:
+        df = (reader.schema(schema) if schema else reader.option("inferSchema", "false")).load(path)
+    except AnalysisException as e:
+        if missing != "empty" or "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema or T.StructType([]))
     if not df.columns:
         return df
     some = F.lit(False)
@@ -93,3 +99,15 @@ def record_texts(document: Column, tag: str = "record") -> Column:
         return documents.map(one, na_action="ignore")
 
     return cut(document)
+
+
+def read_xml_texts(spark: SparkSession, path: str, tag: str = "record", missing: str = "error") -> DataFrame:
+    """``content``: each outermost ``tag`` element as XML text; malformed ones are left out.  A task holds one file at a time."""
+    try:
+        files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    except AnalysisException as e:
+        if missing != "empty" or "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "content string")
+    records = files.select(F.explode(record_texts(F.col("value"), tag)).alias("raw"))
+    return records.select(plain_xml("raw").alias("content")).where("content is not null")

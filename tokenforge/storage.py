@@ -7,11 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .errors import ConfigError
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder: ``spark.checkpoint.dir``; only where that is unset is a local one made and set."""
+    """The shared folder: ``spark.checkpoint.dir``.  Where that is unset a local master gets a local one, any other an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ConfigError("executors on other machines need a shared folder in spark.checkpoint.dir")
         found = "file://" + tempfile.mkdtemp(prefix="tokenforge-shared-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -35,5 +39,25 @@ def dropped(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as the cluster has cores, for work that costs far more than moving its rows.
+
+    A table of fewer splits than cores is dealt out; one of more, and what comes out of a shuffle, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    execution = df._jdf.queryExecution()
+    if execution.executedPlan().nodeName().startswith("Adaptive"):
+        return df
+    return df.repartition(cores) if execution.toRdd().getNumPartitions() < cores else df
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with signs after it where ``df`` has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from .. import endpoints as E
 from ..operators.keyed import KeyedStore
-from ..operators.pipeline import Transform, sink
+from ..operators.pipeline import Transform, sink, split
 
 
 def stream_lines(spark: SparkSession, folder: str, files_a_batch: int = 100) -> DataFrame:
@@ -19,13 +20,20 @@ def stream_lines(spark: SparkSession, folder: str, files_a_batch: int = 100) ->
 
 
 def stream_to(df: DataFrame, transform: Transform, outputs: list[E.Endpoint], checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Send each micro-batch through ``transform`` to every output.  A batch that runs again sets the same keys."""
+    """Send each micro-batch through ``transform`` to every output.
+
+    Each batch has its own files: ``<filename>_<number>`` of token files, the folder ``batch=<number>`` of text, FASTA and
+    XML.  A batch that runs again replaces its own files and sets the same keys; a JDBC table gets its rows again.
+    """
 
     def batch(rows: DataFrame, number: int) -> None:
-        good, _ = transform(rows)
+        good, _ = split(transform(rows))
         for spec in outputs:
-            if isinstance(spec, E.TokenFile):  # a file for each batch
-                spec = E.TokenFile(**{**spec.__dict__, "filename": f"{spec.filename}_{number}"})
+            match spec:
+                case E.TokenFile():
+                    spec = replace(spec, filename=f"{spec.filename}_{number}")
+                case E.Lines() | E.Fasta() | E.Xml():
+                    spec = replace(spec, path=f"{spec.path.rstrip('/')}/batch={number}")
             sink(good, spec)
 
     writer = df.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
