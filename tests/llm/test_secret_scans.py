@@ -68,6 +68,53 @@ def test_battery_finds_random_and_leaves_text():
     assert [x for x in S.scan(plain) if x[0] == "random"] == []
 
 
+def test_recall_by_encoding_and_length():
+    r = random.Random(3)
+    upper, lower, digits = string.ascii_uppercase, string.ascii_lowercase, string.digits
+    claimed = {  # (alphabet, the length from which at least 0.9 are found)
+        "base62": (upper + lower + digits, 28), "base64": (upper + lower + digits + "+/", 28), "upper hex": (digits + "ABCDEF", 32),
+        "base32": (upper + "234567", 40), "base36": (lower + digits, 32), "letters": (lower, 48),
+    }
+    for kind, (alphabet, length) in claimed.items():
+        for n in (length, 64):
+            found = sum(any(k == "random" for k, *_ in S.scan("some words " + "".join(r.choice(alphabet) for _ in range(n)) + " more")) for _ in range(300))
+            assert found >= 0.9 * 300, (kind, n, found)
+
+
+def test_the_battery_decides(monkeypatch):
+    r = random.Random(4)
+    value = "".join(r.choice(string.ascii_letters + string.digits) for _ in range(40))
+    text = f"some words {value} more"
+    assert [k for k, *_ in S.scan(text)] == ["random"]
+    parts = (S.evenness_p(value, S.encoding(value)[1]), S.runs_p(value), S.serial_p(value))
+    assert all(0 < p < 0.5 for p in parts)
+    whole = S.text_p_value(value, S.encoding(value)[1])
+    for name in ("evenness_p", "runs_p", "serial_p"):  # without one of the tests another value, without all nothing
+        with monkeypatch.context() as m:
+            m.setattr(S, name, lambda *_: None)
+            assert S.text_p_value(value, S.encoding(value)[1]) != whole
+    for name in ("evenness_p", "runs_p", "serial_p"):
+        monkeypatch.setattr(S, name, lambda *_: None)
+    assert S.scan(text) == []
+    monkeypatch.undo()
+    # regular strings are even, but not random
+    for regular in (string.ascii_letters + string.digits, string.ascii_uppercase + "234567", "a1b2c3d4e5f6g7h8i9j0k1l2m3n4", "0A1B2C3D4E5F" * 3):
+        assert [k for k, *_ in S.scan(f"x {regular} y") if k == "random"] == [], regular
+
+
+def test_tail_probabilities():
+    from math import comb
+
+    for n, k, p in [(19, 10, 0.25), (5, 0, 0.3), (40, 40, 0.1), (30, 3, 0.6)]:
+        want = sum(comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k, n + 1))
+        assert abs(S._binomial_tail(n, k, p) - want) < 1e-12
+    # under the text model the evenness of letters has about the stated probability
+    r = random.Random(6)
+    letters, weights = zip(*S._FREQUENT.items(), strict=True)
+    low = sum(S.evenness_p("".join(r.choices(letters, weights, k=40)), string.ascii_lowercase) <= 0.05 for _ in range(2000))
+    assert 50 <= low <= 150
+
+
 def test_values_glued_to_names_and_paths_are_tested():
     r = random.Random(11)
     mixed, low = string.ascii_letters + string.digits, string.ascii_lowercase + string.digits

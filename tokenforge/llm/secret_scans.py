@@ -1,12 +1,15 @@
 """Secret scans with a battery of randomness tests (operator 10).
 
 Fixed patterns find assignments, access keys and hex runs.  Beside them, every run of 20 or more encoding characters
-is tested: its encoding is inferred from the characters present; the hypothesis "this is text" gets the p-value
-1 / (likelihood ratio of the uniform alphabet over letter frequencies of text), which holds at every length (Markov);
-chi-squared uniformity, a runs test and a lag-one serial correlation must not contradict randomness.  The p-values
-of one document go through a Benjamini-Hochberg rule with weights that grow with the run's length.  A run that is not
-found as a whole, such as a value glued to a name or path by ``=``, ``/``, ``_``, ``-`` or ``+``, goes through the rule
-again, first cut at ``=``, then as its words and their ranges.  No document needs another, so the scan moves no rows.
+is tested: its encoding is inferred from the characters present, and three statistics are compared with what text of
+the same length and encoding would give.  Chi-squared: letters spread over the alphabet more evenly than those of text.
+Runs: upper case, lower case and digits change more often.  Lag-one serial correlation of vowels against consonants: they
+alternate less.  Each has a tail probability under "this is text"; their normal scores are added, with an allowance for
+correlation.  The same tests in the other direction must not contradict independent uniform characters, so alphabets in
+order and other regular strings fall out.  The p-values of one document go through a Benjamini-Hochberg rule with
+weights that grow with the run's length.  A run that is not found as a whole, such as a value glued to a name or path by
+``=``, ``/``, ``_``, ``-`` or ``+``, goes through the rule again, first cut at ``=``, then as its words and their ranges.
+No document needs another, so the scan moves no rows.
 
 Defined cases: null and empty texts have no spans; rows repeat as they do in the input; an empty table gives an
 empty result; other columns are ignored by the scan and kept by the redaction.  Positions are code points, ends
@@ -20,6 +23,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +51,16 @@ _GROUPED = re.compile("(?<![A-Za-z0-9])[0-9a-fA-F]+(?:-[0-9a-fA-F]+)+(?![A-Za-z0
 _ALNUM, _JOINTS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", ("+/", "-_")
 _HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key", b"akia")
 LEAST_HEX, LEAST_RUN = 16, 20
+#: Letters or pairs that a test needs.
+LEAST_TESTED = 6
+#: Text changes between cases and digits at these shares of pairs at most (in mixed case, as joined names do, and in one
+#: case with numbers), and turns between vowels and consonants at this share at least.
+TEXT_TURNS, TEXT_TURNS_ONE_CASE, TEXT_ALTERNATES = 0.25, 0.1, 0.6
+#: Correlation between two tests' scores that is allowed for.
+TOGETHER = 0.15
+#: The share of false ones among a document's discoveries.
+RATE = 0.01
+_NORMAL = NormalDist()
 #: Letter frequencies of text in Latin script, in percent, from a to z (rounded means over European languages).
 _FREQUENT = dict(zip("abcdefghijklmnopqrstuvwxyz", (8.8, 1.4, 3.3, 4.2, 14.0, 1.3, 1.6, 2.6, 7.3, 0.4, 0.6, 4.6, 2.7, 7.8, 6.3, 2.2, 0.5, 6.8, 6.9, 7.5, 4.0, 1.2, 1.2, 0.3, 0.9, 0.6), strict=True))
 
@@ -99,14 +113,73 @@ def _gains(run: str, alphabet: str) -> list[float]:
     return out
 
 
+def _binomial_tail(n: int, least: int, p: float) -> float:
+    """The probability of at least ``least`` successes in ``n`` trials."""
+    if least <= 0:
+        return 1.0
+    term = math.exp(math.lgamma(n + 1) - math.lgamma(least + 1) - math.lgamma(n - least + 1) + least * math.log(p) + (n - least) * math.log1p(-p))
+    total, k = 0.0, least
+    while k <= n and term > total * 1e-12:
+        total += term
+        term *= (n - k) / (k + 1) * p / (1 - p)
+        k += 1
+    return min(1.0, total)
+
+
+def _class(c: str) -> int:
+    return 0 if c.isdigit() else 1 if c.isupper() else 2
+
+
+def evenness_p(run: str, alphabet: str) -> float | None:
+    """Chi-squared: how probable letters as evenly spread as those of ``run``, or more so, are in text of its alphabet.
+
+    The statistic counts pairs of equal letters, which chi-squared over single letters is but for constants; under text it
+    is taken as gamma-distributed with its exact mean and variance.  Digits are as even in text, so they are left out.
+    """
+    counts = Counter(c for c in run if c.isalpha())
+    n, mixed = sum(counts.values()), any(c.islower() for c in alphabet) and any(c.isupper() for c in alphabet)
+    if n < LEAST_TESTED:
+        return None
+    q = [_FREQUENT[c.lower()] * ((0.15 if c.isupper() else 0.85) if mixed else 1.0) for c in alphabet if c.isalpha()]
+    total = sum(q)
+    two, three = sum((x / total) ** 2 for x in q), sum((x / total) ** 3 for x in q)
+    mean = n * (n - 1) / 2 * two
+    var = mean * (1 - two) + n * (n - 1) * (n - 2) * (three - two * two)
+    found = sum(c * (c - 1) / 2 for c in counts.values()) + 0.5
+    shape = mean * mean / var
+    z = ((found / mean) ** (1 / 3) - (1 - 1 / (9 * shape))) * math.sqrt(9 * shape)
+    return 0.5 * math.erfc(-z / math.sqrt(2))
+
+
+def runs_p(run: str) -> float | None:
+    """Runs: how probable as many changes between upper case, lower case and digits are in text."""
+    pairs = [(_class(a), _class(b)) for a, b in zip(run, run[1:], strict=False) if a.isalnum() and b.isalnum()]
+    kinds = {_class(c) for c in run if c.isalnum()}
+    if len(kinds) < 2 or len(pairs) < LEAST_TESTED:
+        return None
+    return _binomial_tail(len(pairs), sum(a != b for a, b in pairs), TEXT_TURNS if {1, 2} <= kinds else TEXT_TURNS_ONE_CASE)
+
+
+def serial_p(run: str) -> float | None:
+    """Serial correlation: how probable so few turns from vowel to consonant and back are in text."""
+    signs = [None if not c.isalpha() else c.lower() in "aeiouy" for c in run]
+    pairs = [(a, b) for a, b in zip(signs, signs[1:], strict=False) if a is not None and b is not None]
+    if len(pairs) < LEAST_TESTED:
+        return None
+    return _binomial_tail(len(pairs), sum(a == b for a, b in pairs), 1 - TEXT_ALTERNATES)
+
+
 def text_p_value(run: str, alphabet: str) -> float:
-    """A bound on the p-value of "``run`` is text" against "uniform over ``alphabet``"."""
-    gain = sum(_gains(run, alphabet))
-    return min(1.0, math.exp(-gain)) if gain > 0 else 1.0
+    """The three tests' combined p-value of "``run`` is text": the sum of their normal scores."""
+    ps = [x for x in (evenness_p(run, alphabet), runs_p(run), serial_p(run)) if x is not None]
+    if not ps:
+        return 1.0
+    z = -sum(_NORMAL.inv_cdf(min(max(x, 1e-15), 1 - 1e-6)) for x in ps)
+    return 0.5 * math.erfc(z / math.sqrt(2 * (len(ps) + TOGETHER * len(ps) * (len(ps) - 1))))
 
 
 def random_like(run: str, alphabet: str, least: float = 1e-3) -> bool:
-    """Whether none of the three tests contradicts independent uniform characters."""
+    """Whether none of the three tests contradicts independent uniform characters, at the level ``least`` each."""
     n, k = len(run), len(alphabet)
     at = [alphabet.index(c) for c in run]
     cells = min(k, max(2, n // 4))  # bins with four expected characters or so
@@ -232,7 +305,7 @@ def _random_spans(text: str, runs: list[tuple[int, int]], rate: float) -> list[t
     return [("random", s, e) for s, e in found]
 
 
-def scan(text: str | None, rate: float = 1e-4) -> list[tuple[str, int, int]]:
+def scan(text: str | None, rate: float = RATE) -> list[tuple[str, int, int]]:
     """All spans ``(kind, start, end)`` of one text, by start, then kind in the order of KINDS."""
     text = text or ""
     out = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 12]
@@ -289,7 +362,7 @@ def _joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
-def secret_scans(docs: DataFrame, rate: float = 1e-4) -> DataFrame:
+def secret_scans(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """A row for each row of ``docs(doc_id, text)``: counts by fixed pattern, their digest, and all spans.
 
     ``rate`` bounds the false discoveries among a document's tested runs, and anew among each cut of those not found.
@@ -324,7 +397,7 @@ def redact(text: str, spans: list[tuple[str, int, int]], mark: str = "[SECRET]")
     return "".join([*out, text[at:]])
 
 
-def redacted(docs: DataFrame, rate: float = 1e-4) -> DataFrame:
+def redacted(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """``docs`` with secrets in ``text`` replaced, and ``n_chars`` (where present) as the new text has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
