@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import Counter
 
@@ -6,6 +7,7 @@ import pyarrow as pa
 
 from tests.llm.cases import documents, frame, words
 from tokenforge.llm import quality as Q
+from tokenforge.llm import textkit as tk
 
 
 def made(n=400):
@@ -54,6 +56,48 @@ def test_word_vectors_cover_all_documents(spark):
     assert np.allclose(got, want, atol=1e-5)
 
 
+def test_pooling_like_plain_loops():
+    r = np.random.default_rng(1)
+    table = r.normal(size=(Q.BUCKETS, Q.DIM)).astype(np.float32)
+    texts = [t for _, t in documents()] + ["A-b", "x&&& y***\n\u00e9\u00fc!", "  "]
+    got = Q.pooled(pa.array(texts, pa.string()), table)
+    for t, x in zip(texts, got, strict=True):
+        # runs of letters and digits (and all beyond ASCII), and of other signs
+        runs = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x20\x09-\x0d]+", (t or "").encode())
+        if not runs:
+            assert not x.any()
+            continue
+        places = {w: int(Q._bucket(tk.Hasher().spans(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)])))[0]) for w in set(runs)}
+        v = table[[places[w] for w in runs]].astype(np.float64)
+        assert np.allclose(x, np.concatenate((v.mean(0), v.std(0))), atol=1e-4)
+
+
+def test_gradients_like_differences_and_temperature_like_search():
+    r = np.random.default_rng(2)
+    z, y = r.normal(size=(7, 5)), np.array([0, 1, 1, 0, 1, 0, 1.0])
+    p = [r.normal(size=(5, 4)), r.normal(size=4), r.normal(size=4), r.normal(size=1)]
+
+    def loss():
+        logit = np.maximum(z @ p[0] + p[1], 0) @ p[2] + p[3][0]
+        chance = 1 / (1 + np.exp(-logit))
+        return -np.mean(y * np.log(chance) + (1 - y) * np.log(1 - chance)) + Q.PENALTY / 2 * ((p[0] ** 2).sum() + (p[2] ** 2).sum())
+
+    for part, g in zip(p, Q.gradients(p, z, y), strict=True):
+        for at in np.ndindex(part.shape):
+            part[at] += 1e-6
+            up = loss()
+            part[at] -= 2e-6
+            assert abs((up - loss()) / 2e-6 - g[at]) < 1e-6
+            part[at] += 1e-6
+    # logits three times too large want a temperature near 3
+    logit = r.normal(size=20_000) * 2
+    y = (r.random(20_000) < 1 / (1 + np.exp(-logit))).astype(float)
+    assert 2.6 < Q.best_temperature(3 * logit, y) < 3.5
+    x = r.normal(size=(400, 6))
+    net = Q.Network(x, (x[:, 0] + x[:, 1] * x[:, 2] > 0).astype(float))
+    assert ((net.score(x) >= 0.5) == (x[:, 0] + x[:, 1] * x[:, 2] > 0)).mean() > 0.95
+
+
 def test_held_out_labels_do_not_matter(spark):
     rows, labels = made(150)
     docs = frame(spark, rows)

@@ -1,10 +1,10 @@
 """Quality classifier on random-indexing word vectors (operator 5).
 
-Every word hash owns a sparse random index vector.  A word's vector, kept in one of BUCKETS rows, sums the index
-vectors of its neighbours over all documents plus its own; rows are scaled to unit length.  A document is the mean
-of its words' vectors beside the spread of those vectors and a few shape figures.  A two-layer network in numpy is
-trained on these, and a temperature found on a part of the training rows kept from training calibrates its
-probabilities.
+Words are runs of letters and digits, and runs of other signs.  Every word hash owns a sparse random index vector.  A
+word's vector, kept in one of BUCKETS rows, sums the index vectors of its neighbours over all documents plus its own;
+rows are scaled to unit length.  A document is the mean of its words' vectors beside their spread, and nothing else.  A
+two-layer network in numpy is trained on these, and a temperature found on a part of the training rows kept from
+training calibrates its probabilities.
 
 The classifier is fitted on at most ``most`` labelled rows (those whose hashed ids come first); everything else covers
 every row.  Only the model (a fixed size, about 10 MB) is broadcast, and only the word sums (a fixed size, summed by
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textkit as tk
-from .shared import stored, table
+from .shared import dropped, spread, stored, table
 
 #: Rows of the word table, and the length of its vectors.
 BUCKETS, DIM = 1 << 15, 64
@@ -39,7 +39,8 @@ NEAR = 2
 MOST = 6000
 #: Words of a document that are pooled at once.
 CHUNK = 1 << 14
-SHAPES = 12
+#: Weight of the squared weights in training.
+PENALTY = 3e-3
 #: Rows in which a task's sums are shuffled.
 SLICES = 64
 
@@ -50,7 +51,7 @@ def _pieces(column: pa.Array) -> Iterator[tuple]:
     hasher = tk.Hasher()
     for a, b in tk.slices(off):
         text, own = buf[off[a] : off[b]], off[a : b + 1] - off[a]
-        starts, ends, rows = tk.word_spans(text, own, tk.GRAPH)
+        starts, ends, rows = tk.kind_spans(text, own)
         yield a, b - a, text, own, starts, ends, rows, hasher.spans(text, starts, ends)
 
 
@@ -118,47 +119,39 @@ def word_table(docs: DataFrame) -> np.ndarray:
 
 
 def pooled(column: pa.Array, words: np.ndarray) -> np.ndarray:
-    """A row of 2 * DIM + SHAPES figures for each text."""
-    out = np.zeros((len(column), 2 * DIM + SHAPES), np.float32)
-    kinds = np.zeros((256, 5), np.float32)
-    kinds[65:91, 0] = 1  # capitals
-    kinds[48:58, 1] = 1  # digits
-    kinds[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)], 2] = 1  # signs
-    kinds[10, 3] = 1  # line ends
-    kinds[0x80:, 4] = 1  # beyond ASCII
-    kinds = kinds.astype(np.uint8)
-    for a, n, text, own, starts, ends, rows, hashes in _pieces(column):
+    """For each text the mean and the spread of its words' vectors: 2 * DIM figures, 0 without words."""
+    out = np.zeros((len(column), 2 * DIM), np.float32)
+    for a, n, _, _, _, _, rows, hashes in _pieces(column):
         w = _bucket(hashes)
-        for i in range(n):
-            lo, hi = np.searchsorted(rows, [i, i + 1])
-            m, x = hi - lo, out[a + i]
-            size = own[i + 1] - own[i]
-            if size:
-                counts = np.bincount(text[own[i] : own[i + 1]], minlength=256)
-                x[2 * DIM : 2 * DIM + 5] = counts @ kinds / size * 10
-            if not m:
-                x[2 * DIM + 11] = 1
-                continue
-            h = hashes[lo:hi]
+        edges = np.searchsorted(rows, np.arange(n + 1))
+        for i in np.flatnonzero(np.diff(edges)):
+            lo, hi = edges[i], edges[i + 1]
             at, times = np.unique(w[lo:hi], return_counts=True)
-            # first words, repeats and lengths
-            x[2 * DIM + 5] = math.log1p(m)
-            x[2 * DIM + 6] = len(at) / m
-            x[2 * DIM + 7] = times.max() / m
-            x[2 * DIM + 8] = (h[1:] == h[:-1]).mean() if m > 1 else 0
-            lengths = ends[lo:hi] - starts[lo:hi]
-            x[2 * DIM + 9] = lengths.mean() / 10
-            x[2 * DIM + 10] = (lengths == 1).mean()
-            total, square = np.zeros(DIM, np.float32), np.zeros(DIM, np.float32)
+            total, square = np.zeros(DIM), np.zeros(DIM)
             for k in range(0, len(at), CHUNK):
-                v, t = words[at[k : k + CHUNK]], times[k : k + CHUNK].astype(np.float32)
+                v, t = words[at[k : k + CHUNK]].astype(np.float64), times[k : k + CHUNK].astype(np.float64)
                 total += t @ v
                 square += t @ (v * v)
-            x[:DIM] = total / m
-            x[DIM : 2 * DIM] = np.sqrt(np.maximum(square / m - (total / m) ** 2, 0))
+            mean = total / (hi - lo)
+            out[a + i, :DIM] = mean
+            out[a + i, DIM:] = np.sqrt(np.maximum(square / (hi - lo) - mean * mean, 0))
     return out
 
 
+def gradients(p: list[np.ndarray], z: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    """The gradients of the mean log loss, with half of PENALTY times the squared weights, of a network ``p``."""
+    a = np.maximum(z @ p[0] + p[1], 0)
+    d = (1 / (1 + np.exp(-np.clip(a @ p[2] + p[3][0], -50, 50))) - y) / len(y)
+    back = np.outer(d, p[2]) * (a > 0)
+    return [z.T @ back + PENALTY * p[0], back.sum(0), a.T @ d + PENALTY * p[2], np.array([d.sum()])]
+
+
+def best_temperature(logit: np.ndarray, y: np.ndarray) -> float:
+    """The divisor of ``logit``, of those tried, under which labels ``y`` are most likely."""
+    losses = [(np.mean(np.logaddexp(0, np.where(y == 1, -1, 1) * logit / t)), t) for t in np.geomspace(0.25, 8, 41)]
+    return float(min(losses)[1])
+
+
 class Network:
     """Two layers with ReLU between, trained by Adam on standardised inputs."""
 
@@ -181,19 +174,13 @@ class Network:
             r.shuffle(fit)
             for k in range(0, len(fit), 64):
                 i = fit[k : k + 64]
-                a = np.maximum(z[i] @ p[0] + p[1], 0)
-                d = (1 / (1 + np.exp(-np.clip(a @ p[2] + p[3][0], -50, 50))) - y[i]) / len(i)
-                back = np.outer(d, p[2]) * (a > 0)
-                grads = [z[i].T @ back + 1e-4 * p[0], back.sum(0), a.T @ d + 1e-4 * p[2], np.array([d.sum()])]
                 step += 1
-                for j, g in enumerate(grads):
+                for j, g in enumerate(gradients(p, z[i], y[i])):
                     m[j] += 0.1 * (g - m[j])
                     v[j] += 0.001 * (g * g - v[j])
                     p[j] = p[j] - 0.003 * (m[j] / (1 - 0.9**step)) / (np.sqrt(v[j] / (1 - 0.999**step)) + 1e-8)
         self.p = p
-        logit = self._logit(x[tune])
-        losses = [(np.mean(np.logaddexp(0, np.where(y[tune] == 1, -1, 1) * logit / t)), t) for t in np.geomspace(0.25, 8, 41)]
-        self.temperature = float(min(losses)[1])
+        self.temperature = best_temperature(self._logit(x[tune]), y[tune])
 
     def _logit(self, x: np.ndarray) -> np.ndarray:
         a = np.maximum((x - self.mean) / self.scale @ self.p[0] + self.p[1], 0)
@@ -243,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
     )
     # at most ``most`` ids and labels: 16 bytes each
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    sample, _ = stored(texts.select("text", "label"), "quality-sample")
+    sample, path = stored(texts.select("text", "label"), "quality-sample")
     words = word_table(docs)
     shared = spark.sparkContext.broadcast(words)
 
@@ -252,14 +239,15 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
             x = pooled(b.column("text"), shared.value)
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), b.column("label")], names=["x", "label"])
 
-    rows = sample.mapInArrow(pool, "x binary, label double").collect()  # at most ``most`` rows of 560 bytes
+    rows = sample.mapInArrow(pool, "x binary, label double").collect()  # at most ``most`` rows of 512 bytes
+    dropped(spark, path)
     rows.sort(key=lambda r: (bytes(r["x"]), r["label"]))
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in rows]).reshape(-1, 2 * DIM + SHAPES)
+    x = np.array([np.frombuffer(r["x"], np.float32) for r in rows]).reshape(-1, 2 * DIM)
     net = Network(x.astype(np.float64), np.array([r["label"] for r in rows]))
     return Model(spark, words, net)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     scored = fit(docs, table(spark, sf_dir, "labels")).scored(docs)
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

@@ -10,13 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import dropped, fresh_path, shared_dir, stored, table
+from ..storage import dropped, fresh_path, shared_dir, spread, stored, table, unused
 from .textkit import mix
 
 #: Bits of a filter at most: 64 MB.
 MOST_BITS = 1 << 29
 
-__all__ = ["Filter", "components", "dropped", "fresh_path", "made_filter", "shared_dir", "stored", "table", "whole_groups"]
+__all__ = ["Filter", "components", "dropped", "fresh_path", "made_filter", "shared_dir", "spread", "stored", "table", "unused", "whole_groups"]
 
 
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:

@@ -94,3 +94,22 @@ def word_spans(text: np.ndarray, off: np.ndarray, keep: np.ndarray) -> tuple[np.
             ends = np.union1d(ends, split)
     rows = np.searchsorted(off, starts, "right") - 1
     return starts, ends, rows
+
+
+#: Kinds of bytes: 0 white space, 1 letters, digits and all beyond ASCII, 2 other signs.
+KINDS = np.where(GRAPH, np.where(ALNUM, 1, 2), 0).astype(np.int8)
+KINDS[0x41:0x5B] = 1
+
+
+def kind_spans(text: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and rows of the maximal runs of one kind but white space.  None crosses a row's end in ``off``."""
+    n = len(text)
+    kind = KINDS[text]
+    edge = np.ones(n + 1, bool)
+    edge[1:n] = kind[1:] != kind[:-1]
+    edge[off[(off >= 0) & (off <= n)]] = True
+    at = np.flatnonzero(edge)
+    starts, ends = at[:-1], at[1:]
+    told = kind[starts] > 0 if n else np.zeros(0, bool)
+    starts, ends = starts[told], ends[told]
+    return starts, ends, np.searchsorted(off, starts, "right") - 1
