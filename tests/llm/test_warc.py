@@ -53,6 +53,17 @@ def test_registered_query(spark, sf):
     assert tuples(W.op7_warc(spark, sf)) == brute(rows)
 
 
+def test_one_response_a_payload_where_ids_repeat(spark, tmp_path):
+    rows = [(3, "a", BIG), (3, "b", BIG), (5, "c", BIG), (3, "d", "other" * 50), (None, "e", "null" * 50), (None, "f", "null" * 50)]
+    back = W.read_archive(W.write_archive(pages(spark, rows), f"file://{tmp_path}/a"), f"file://{tmp_path}/a", keep_payload=True).collect()
+    for text in (BIG, "other" * 50, "null" * 50):
+        own = [r for r in back if r["payload_digest"] == hashlib.sha256(text.encode()).hexdigest()]
+        first = [r for r in own if r["record_type"] == "response"]
+        least = min((i for i, _, h in rows if h == text and i is not None), default=None)
+        assert len(first) == 1 and first[0]["page_id"] == least and bytes(first[0]["payload"]).decode() == text
+        assert {r["refers_to"] for r in own if r["record_type"] == "revisit"} <= {least}
+
+
 def test_null_id_and_empty_table(spark, tmp_path):
     got = tuples(W.read_archive(W.write_archive(pages(spark, [(None, "a", BIG), (2, "b", BIG)]), f"file://{tmp_path}/a"), f"file://{tmp_path}/a"))
     assert [(r[0], r[3], r[4]) for r in got] == [(2, "response", None), (None, "revisit", 2)]

@@ -10,8 +10,9 @@ Duplicates are found on digests alone: of records with equal payloads of at leas
 smallest page id is a response and the others revisit it.
 
 Defined cases: null html is an empty payload; a null url is written as an empty target; rows with the same page id are
-told apart by their position, the first of equal ids staying the response; an empty table gives an empty index; other
-columns are ignored.
+told apart by their position in the table, the first of equal ids and payloads staying the response; a null page id comes
+after all others, and revisits of a response without an id refer to none; an empty table gives an empty index; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -40,11 +41,11 @@ def _clean(url: str | None) -> str:
     return (url or "").replace("\r", "%0D").replace("\n", "%0A")
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, of: str | None) -> bytes:
-    """One WARC record.  ``refers_to``: the page that a revisit record points at, ``of`` its url."""
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, again: bool, refers_to: int | None, of: str | None) -> bytes:
+    """One WARC record.  ``again``: a revisit, of the page ``refers_to`` with the url ``of``."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-    kind = "response" if refers_to is None else "revisit"
-    body = http + (payload if refers_to is None else b"")
+    kind = "revisit" if again else "response"
+    body = http + (b"" if again else payload)
     head = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
@@ -56,11 +57,11 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
         f"WARC-Full-Payload-Length: {len(payload)}",
         "Content-Type: application/http; msgtype=response",
     ]
-    if refers_to is not None:
+    if again:
         head += [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
             f"WARC-Refers-To-Target-URI: {_clean(of)}",
-            f"WARC-Refers-To-Page-ID: {refers_to}",
+            f"WARC-Refers-To-Page-ID: {'' if refers_to is None else refers_to}",
         ]
     head.append(f"Content-Length: {len(body)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
@@ -98,11 +99,11 @@ def _write(folder: str):
                 out = fs.open_output_stream(f"{base}/{name}", compression=None)
             rows: list[tuple] = []
             for i in range(b.num_rows):
-                x = {k: b.column(k)[i].as_py() for k in ("page_id", "url", "html", "digest", "refers_to", "of")}
+                x = {k: b.column(k)[i].as_py() for k in ("page_id", "url", "html", "digest", "again", "refers_to", "of")}
                 payload = (x["html"] or "").encode()
-                data = _member(record(x["page_id"], x["url"], payload, x["digest"], x["refers_to"], x["of"]))
+                data = _member(record(x["page_id"], x["url"], payload, x["digest"], x["again"], x["refers_to"], x["of"]))
                 out.write(data)
-                rows.append((name, at, len(data), x["url"], x["digest"], x["page_id"], len(payload), "response" if x["refers_to"] is None else "revisit", x["refers_to"]))
+                rows.append((name, at, len(data), x["url"], x["digest"], x["page_id"], len(payload), "revisit" if x["again"] else "response", x["refers_to"]))
                 at += len(data)
             if rows:
                 yield pa.RecordBatch.from_pydict(dict(zip((c.split()[0] for c in INDEX.split(", ")), zip(*rows, strict=True), strict=True)), schema=_INDEX_SCHEMA)
@@ -121,18 +122,22 @@ def write_archive(pages: DataFrame, folder: str, least: int = LEAST) -> DataFram
     """Write ``pages(page_id, url, html)`` as WARC files into ``folder``; the stored index is returned."""
     spark = pages.sparkSession
     html = F.coalesce("html", F.lit(""))
-    keyed = pages.select("page_id", "url", html.alias("html"), F.sha2(html, 256).alias("digest"), F.octet_length(html).alias("n"))
+    keyed = pages.select(
+        "page_id", "url", html.alias("html"), F.sha2(html, 256).alias("digest"), F.octet_length(html).alias("n"), F.monotonically_increasing_id().alias("place")
+    )
     # one row for each payload that several records share; groups shrink before the shuffle
     same = (
         keyed.where(F.col("n") >= least)
         .groupBy("digest")
-        .agg(F.count("*").alias("copies"), F.min_by(F.struct("page_id", "url"), F.struct(F.col("page_id").isNull(), "page_id", "url")).alias("first"))
+        .agg(F.count("*").alias("copies"), F.min_by(F.struct("page_id", "url", "place"), F.struct(F.col("page_id").isNull(), "page_id", "place")).alias("first"))
         .where("copies > 1")
-        .select("digest", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("of"))
+        .select("digest", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("of"), F.col("first.place").alias("at"))
     )
     same, _ = stored(same, "warc-copies")
+    # rows of one table have the same places in both scans
+    again = F.coalesce(F.col("place") != F.col("at"), F.lit(False))
     marked = keyed.join(same, "digest", "left").select(
-        "page_id", "url", "html", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("refers_to"), "of"
+        "page_id", "url", "html", "digest", again.alias("again"), F.when(again, F.col("first_id")).alias("refers_to"), "of"
     )
     index, _ = stored(marked.mapInArrow(_write(folder), INDEX), "warc-index")
     return index
@@ -193,9 +198,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP7_SQL = """
 with p as (select page_id, coalesce(html, '') as html from pages),
 d as (select page_id, strlen(html) as n, sha256(html) as digest from p),
-g as (select digest, min(page_id) as first_id from d where n >= 100 group by digest)
-select d.page_id, d.n::bigint as payload_bytes, d.digest as payload_digest,
-  case when g.first_id <> d.page_id then 'revisit' else 'response' end as record_type,
-  case when g.first_id <> d.page_id then g.first_id end as refers_to
-from d left join g on g.digest = d.digest and d.n >= 100
+g as (select page_id, n, digest, first_value(page_id) over w as first_id, row_number() over w as k from d window w as (partition by digest order by page_id))
+select page_id, n::bigint as payload_bytes, digest as payload_digest, case when n >= 100 and k > 1 then 'revisit' else 'response' end as record_type,
+  case when n >= 100 and k > 1 then first_id end as refers_to
+from g
 """
