@@ -104,3 +104,24 @@ def test_components_of_paths_stars_and_words(spark):
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)}
     words = spark.createDataFrame([("b", "a"), ("c", "b"), ("y", "z")], "src string, dst string")
     assert {r["id"]: r["component"] for r in components(words).collect()} == {"a": "a", "b": "a", "c": "a", "y": "y", "z": "y"}
+
+
+def test_all_links_of_a_page_and_references_in_them(spark):
+    two = CANON.format("http://q.io/1") + CANON.format("http://z.net/1") + TURN.format("http://q.io/2")
+    rows = [(1, "http://p.io/", two), (2, "http://q.io/1", ""), (3, "http://q.io/2", ""), (4, "http://r.io/?a=1&b=2", ""), (5, "http://s.net/", CANON.format("http://r.io/?a=1&amp;b=2")), (6, "http://t.io/", CANON.format("http:&#47;&#47;u.net&sol;"))]
+    pages = frame(spark, rows)
+    assert {r["page_id"]: r["verdict"] for r in U.url_filters(pages, U.html_edges(pages)).collect()} == dict.fromkeys(range(1, 7), "block")
+
+
+def test_planted_links_like_their_statement(spark, sf):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{sf}/pages.parquet'")
+    want = con.execute(U.URL_LINKS_SQL)
+    names = [x[0] for x in want.description]
+    rows = want.fetchall()
+    got = U.url_filters_over_links(spark, sf).select(*names)
+    assert tuples(got) == sorted(rows, key=repr)
+    changed = set(rows) - set(con.execute(U.OP9_SQL).fetchall())
+    assert len(changed) > 0  # links decide some verdicts

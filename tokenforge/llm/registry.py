@@ -14,7 +14,7 @@ from .quality import op5_quality
 from .secret_scans import op10_secret_scans
 from .substring_dedup import OP1_SQL, op1_substring_dedup
 from .token_counts import op6_token_counts
-from .url_filters import OP9_SQL, op9_url_filters
+from .url_filters import OP9_SQL, URL_LINKS_SQL, op9_url_filters, url_filters_over_links
 from .warc import OP7_SQL, op7_warc
 
 
@@ -30,8 +30,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_dedup": op8_embedding_dedup,
         "op9_url_filters": op9_url_filters,
         "op10_secret_scans": op10_secret_scans,
+        "url_filters_over_links": url_filters_over_links,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op3_decontamination": OP3_SQL, "op4_ngram_join": OP4_SQL, "op7_warc": OP7_SQL, "op8_embedding_dedup": OP8_SQL, "op9_url_filters": OP9_SQL}
+    return {
+        "op1_substring_dedup": OP1_SQL,
+        "op3_decontamination": OP3_SQL,
+        "op4_ngram_join": OP4_SQL,
+        "op7_warc": OP7_SQL,
+        "op8_embedding_dedup": OP8_SQL,
+        "op9_url_filters": OP9_SQL,
+        "url_filters_over_links": URL_LINKS_SQL,
+    }

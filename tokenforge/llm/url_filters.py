@@ -7,13 +7,15 @@ member blocks them, else they are allowed.  Only DataFrame functions are used.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is allowed; the same url
 on several pages is one node; an edge with a null end is ignored; a
-relative link is resolved against its page's url (not against ``<base>``), and gives no edge where that has no ``://``; a hot url is one row before any edge is shuffled,
-as edges are made distinct first; an empty table gives an empty result; other columns are ignored.
+relative link is resolved against its page's url (not against ``<base>``), and gives no edge where that has no ``://``;
+all canonical links and refreshes of a page count, with the references of :data:`ENTITIES` in them read as characters; a hot
+url is one row before any edge is shuffled, as edges are made distinct first; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import components, stored, table
@@ -70,6 +72,20 @@ def resolved(link: Column, url: Column) -> Column:
     )
 
 
+#: Character references that are read in links; fixed values.
+ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"), ("&#34;", '"'), ("&#47;", "/"),
+    ("&#x2f;", "/"), ("&#x2F;", "/"), ("&sol;", "/"), ("&#58;", ":"), ("&colon;", ":"), ("&#61;", "="), ("&equals;", "="), ("&#63;", "?"),
+    ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"),
+)
+
+
+def _plain(link: Column) -> Column:
+    for name, sign in ENTITIES:  # the sign & comes last, so nothing is read twice
+        link = F.replace(link, F.lit(name), F.lit(sign))
+    return link
+
+
 def html_edges(pages: DataFrame) -> DataFrame:
     """Edges ``(src, dst)`` between urls from canonical links and refresh redirects in ``pages(url, html)``."""
     tag = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
@@ -77,9 +93,10 @@ def html_edges(pages: DataFrame) -> DataFrame:
     low = F.lower("html")
     # plain searches come first: few pages need the patterns
     found = pages.where(F.contains(low, F.lit("canonical")) | F.contains(low, F.lit("refresh"))).select(
-        F.col("url").alias("src"), F.explode(F.array(F.regexp_extract("html", tag, 1), F.regexp_extract("html", turn, 1))).alias("dst")
+        F.col("url").alias("src"),
+        F.explode(F.array_distinct(F.concat(*(F.regexp_extract_all("html", F.lit(x), F.lit(1)) for x in (tag, turn))))).alias("dst"),
     )
-    told = found.where("dst <> ''").withColumn("dst", resolved(F.col("dst"), F.col("src")))
+    told = found.where("dst <> ''").withColumn("dst", resolved(_plain(F.col("dst")), F.col("src")))
     return told.where("dst is not null").distinct()
 
 
@@ -104,6 +121,15 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters(pages, html_edges(pages))
 
 
+def url_filters_over_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator where every page names the next one of its host as canonical: a blocked page blocks its whole host."""
+    pages = table(spark, sf_dir, "pages").withColumn("host", host(F.col("url")))
+    after = F.lead("url").over(Window.partitionBy("host").orderBy("page_id"))
+    link = F.when((F.col("host") != "") & after.isNotNull(), F.concat(F.lit('<link rel="canonical" href="'), F.replace(after, F.lit("&"), F.lit("&amp;")), F.lit('">')))
+    linked = pages.select("page_id", "url", F.concat(F.coalesce("html", F.lit("")), F.coalesce(link, F.lit(""))).alias("html"))
+    return url_filters(linked, html_edges(linked))
+
+
 #: For tables whose html has neither canonical links nor refreshes, as RE2 lacks the look-ahead; tests cover those.
 OP9_SQL = """
 with recursive p as (
@@ -118,3 +144,9 @@ f as (
   from u join r on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp) group by page_id)
 select u.page_id, u.host, u.path, f.rule, coalesce(f.rv, 'allow') as verdict from u left join f using (page_id)
 """
+
+#: Components over links of a host's pages are its pages.
+URL_LINKS_SQL = OP9_SQL.replace(
+    "select u.page_id, u.host, u.path, f.rule, coalesce(f.rv, 'allow') as verdict from u",
+    "select u.page_id, u.host, u.path, f.rule, coalesce(f.rv, case when u.host <> '' and bool_or(f.rv = 'block') over (partition by u.host) then 'block' end, 'allow') as verdict from u",
+)
