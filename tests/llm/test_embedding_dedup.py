@@ -65,9 +65,23 @@ def test_error_bound_holds():
 
 def test_few_pairs_are_computed_in_full():
     r = np.random.default_rng(2)
-    a = r.normal(size=(500, 64))
-    rows, _, full = V.linked(a, a, 0.9, True)
-    assert len(rows) == 0 and full < 500
+    x = r.normal(size=(500, 64))
+    x[250:] = x[:250] + r.normal(size=(250, 64)) * np.linspace(0, 1, 250)[:, None]
+    codes = V.quantised(V._unit(x))
+    rows, cols, rows2, cols2 = V.settled(codes, codes, 0.9, True)
+    cos = V._unit(x) @ V._unit(x).T
+    truth = {(i, j) for i, j in zip(*np.nonzero(cos >= 0.9), strict=True) if i < j}
+    sure, open_ = set(zip(rows, cols, strict=True)), set(zip(rows2, cols2, strict=True))
+    assert sure <= truth <= sure | open_ and len(sure) > 50 and 0 < len(open_) < 50
+
+
+def test_tile_pairs_are_found_once(spark, monkeypatch):
+    monkeypatch.setattr(V, "GROUP", 3)
+    import struct
+
+    rows = [(8, f"t{i}", struct.pack("<8d", 1.0, *[0.0] * 7), 1.0) for i in range(20)] + [(4, f"u{i}", struct.pack("<4d", 1.0, 0, 0, 0), 1.0) for i in range(2)]
+    got = tuples(V._near_tiles(spark.createDataFrame(rows, "dim int, tile string, centre binary, radius double"), 0.5))
+    assert len(got) == len({frozenset(p) for p in got}) == 20 * 21 // 2 + 3
 
 
 def test_forest_spans_components():
