@@ -64,6 +64,8 @@ def test_several_automata(spark, monkeypatch):
     monkeypatch.setattr(D, "SLICE_WORDS", 20)
     rows = documents()
     items = items_of(rows)
+    assert len(D.automata(items_frame(spark, items))) >= 3
+    monkeypatch.setattr(D, "BLOCK", 2000)  # and several blocks of texts
     assert tuples(D.contamination(frame(spark, rows), items_frame(spark, items))) == brute(rows, items)
 
 

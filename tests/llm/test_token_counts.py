@@ -42,5 +42,23 @@ def test_cache_is_used_and_appended(spark, tmp_path):
     assert tuples(C.token_counts(frame(spark, [(3, "c")]), path, f"{cache}2")) == [(3, 1, 101, False)]
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_few_and_many_misses_alike(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(C, "FEW", few)
+    path, cache, rows = public_tokenizers.path("byte_bpe_50k.json"), f"file://{tmp_path}/cache", documents()
+    first = tuples(C.token_counts(frame(spark, rows[:30]), path, cache))
+    held = spark.read.parquet(cache).count()
+    every = tuples(C.token_counts(frame(spark, rows), path, cache))
+    assert set(first) <= set(every) and held < spark.read.parquet(cache).count() == len({t or "" for _, t in rows})
+    count = library("byte_bpe_50k.json")
+    assert every == sorted(((i, len((t or "").encode()), count(t or ""), count(t or "") > 512) for i, t in rows), key=repr)
+
+
+def test_registered_query(spark, sf):
+    count = library("byte_bpe_50k.json")
+    rows = [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert tuples(C.op6_token_counts(spark, sf)) == sorted(((i, len(t.encode()), count(t), count(t) > 512) for i, t in rows), key=repr)
+
+
 def test_empty_table(spark, tmp_path):
     assert tuples(C.token_counts(frame(spark, []), public_tokenizers.path("byte_bpe_50k.json"), f"file://{tmp_path}/cache")) == []

@@ -5,8 +5,10 @@ the length of the longest match ending at each word is tracked.  Where it reache
 ``window`` words are hit; an item of fewer words is hit where it occurs as a whole.  Only stretches of words whose
 neighbouring pairs all occur in items are streamed, as no match can be longer than its stretch.
 
-The items' side is cut into automata of at most ``SLICE_WORDS`` words; each task holds one at a time, so neither the
-driver nor a task needs memory that grows with the items.  Documents are not shuffled.
+The items' side is dealt out over automata of about ``SLICE_WORDS`` words (or one longer item).  Tasks build them and write
+each to a file in the shared folder; the driver sees their paths only.  A worker keeps KEPT loaded, and takes each through
+all of BLOCK bytes of documents before the next is loaded, so its memory grows neither with the items nor with the
+documents.  Documents are not shuffled.
 
 Defined cases: null and empty texts have no words and no hits; empty items are ignored; items with a null id hit
 words but are not counted; items with equal ids count once; no items, no hits; rows repeat as in the input;
@@ -15,21 +17,26 @@ other columns are ignored by the report and kept by the removal.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .shared import table
+from .shared import fresh_path, spread, table
 
 WINDOW = 10
-#: Words of items in one automaton.
+#: Words of items in one automaton, about.
 SLICE_WORDS = 200_000
+#: Bytes of texts that automata are taken through in turn, and automata that a worker keeps loaded.
+BLOCK, KEPT = 1 << 24, 2
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -189,76 +196,90 @@ class Automaton:
                 found.setdefault(int(rows[b]), set()).update(items)
 
 
-def automata(items: DataFrame, window: int = WINDOW) -> list:
-    """Broadcasts of pickled automata over ``items(item_id, text)``, each of at most SLICE_WORDS words (or one item)."""
-    spark = items.sparkSession
-    out, held, n = [], [], 0
-
-    def close() -> None:
-        nonlocal held, n
-        if held:
-            out.append(spark.sparkContext.broadcast(pickle.dumps(Automaton(held, window))))
-        held, n = [], 0
-
-    for row in items.select("item_id", "text").toLocalIterator():
-        ws = words_of(row["text"])
-        if ws:
-            if n + len(ws) > SLICE_WORDS:
-                close()
-            held.append((row["item_id"], ws))
-            n += len(ws)
-    close()
-    return out
+def _built(folder: str, window: int):
+    """Writes the automaton of a partition of items to a file, and gives its path."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = []
+        for b in batches:
+            for item, t in zip(b.column("item_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                ws = words_of(t)
+                if ws:
+                    items.append((item, ws))
+        if not items:
+            return
+        fs, base = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(base, recursive=True)
+        name = uuid.uuid4().hex
+        with fs.open_output_stream(f"{base}/{name}") as out:
+            out.write(pickle.dumps(Automaton(items, window)))
+        yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"]})
 
-_LOADED: dict = {}
+    return run
 
 
-def _hits(column: pa.Array, parts: list) -> Iterator[tuple]:
-    """For each row: (number of words, hit mask, word starts and ends in the row's bytes, items)."""
-    buf, off = tk.flat(column)
-    hasher = tk.Hasher()
-    for a, b in tk.slices(off):
-        low, own = tk.LOWER[buf[off[a] : off[b]]], off[a : b + 1] - off[a]
-        starts, ends, rows = tk.word_spans(low, own, tk.ALNUM)
-        hashes = hasher.spans(low, starts, ends)
-        hit, found = np.zeros(len(starts), bool), {}
-        for load in parts:
-            load().mark(low, starts, ends, rows, hashes, hit, found)
-        edges = np.searchsorted(rows, np.arange(b - a + 1))
-        for i in range(b - a):
-            s = slice(edges[i], edges[i + 1])
-            yield hit[s], starts[s] - own[i], ends[s] - own[i], found.get(i, ())
+def automata(items: DataFrame, window: int = WINDOW) -> list[str]:
+    """Paths of automata over ``items(item_id, text)``: one for every SLICE_WORDS words or so, built by tasks."""
+    spark = items.sparkSession
+    size = items.agg(F.sum(F.octet_length("text")).alias("n")).collect()[0]["n"] or 0
+    parts = -(-size // (6 * SLICE_WORDS)) or 1  # words with what is between them take six bytes or more
+    folder = fresh_path(spark, "automata")
+    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    laid = items.select("item_id", "text").where("text is not null").repartition(parts)
+    return sorted(r["path"] for r in laid.mapInArrow(_built(folder, window), "path string").collect())
 
 
-class _Parts:
-    """Loaders of the automata, for a closure."""
+_LOADED: dict[str, Automaton] = {}
 
-    def __init__(self, broadcasts: list) -> None:
-        self.broadcasts = broadcasts
 
-    def loaders(self) -> list:
-        def loader(k: int, bc):
-            def load() -> Automaton:
-                if k not in _LOADED or _LOADED[k][0] is not bc:
-                    _LOADED.clear()
-                    _LOADED[k] = (bc, pickle.loads(bc.value))
-                return _LOADED[k][1]
+def _load(path: str) -> Automaton:
+    if path not in _LOADED:
+        while len(_LOADED) >= KEPT:
+            del _LOADED[next(iter(_LOADED))]
+        fs, base = pafs.FileSystem.from_uri(path)
+        with fs.open_input_stream(base) as f:
+            raw = f.read()
+        gc.disable()  # many small objects: collections would walk them again and again
+        try:
+            _LOADED[path] = pickle.loads(raw)
+        finally:
+            gc.enable()
+    return _LOADED[path]
 
-            return load
 
-        return [loader(k, bc) for k, bc in enumerate(self.broadcasts)]
+def _hits(column: pa.Array, paths: list[str]) -> Iterator[tuple]:
+    """For each row: (number of words, hit mask, word starts and ends in the row's bytes, items)."""
+    buf, off = tk.flat(column)
+    hasher = tk.Hasher()
+    for first, last in tk.slices(off, BLOCK):
+        held = []
+        for a, b in tk.slices(off[first : last + 1]):
+            a, b = a + first, b + first
+            low, own = tk.LOWER[buf[off[a] : off[b]]], off[a : b + 1] - off[a]
+            starts, ends, rows = tk.word_spans(low, own, tk.ALNUM)
+            held.append((b - a, own, low, starts, ends, rows, hasher.spans(low, starts, ends), np.zeros(len(starts), bool), {}))
+        # the one that the last block ended with is loaded still
+        paths.sort(key=lambda p: p not in _LOADED)
+        for path in paths:
+            automaton = _load(path)
+            for _, _, *words, found in held:
+                automaton.mark(*words, found)
+        for n, own, _, starts, ends, rows, _, hit, found in held:
+            edges = np.searchsorted(rows, np.arange(n + 1))
+            for i in range(n):
+                s = slice(edges[i], edges[i + 1])
+                yield hit[s], starts[s] - own[i], ends[s] - own[i], found.get(i, ())
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """A row for each row of ``docs(doc_id, text)``: words, hit words and the items that have occurring windows."""
-    held = _Parts(automata(items, window))
+    paths = automata(items, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = held.loaders()
+        own = list(paths)
         for b in batches:
             words, hits, n_items, digests = [], [], [], []
-            for hit, _, _, found in _hits(b.column("text"), parts):
+            for hit, _, _, found in _hits(b.column("text"), own):
                 names = sorted(str(x) for x in found if x is not None)
                 words.append(len(hit))
                 hits.append(int(hit.sum()))
@@ -278,14 +299,14 @@ def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, cove
 
     A removed span reaches from its first word to its last; ``n_chars`` (where present) follows the text.
     """
-    held = _Parts(automata(items, window))
+    paths = automata(items, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = held.loaders()
+        own = list(paths)
         for b in batches:
             column, names = b.column("text"), b.schema.names
             keep, changed = np.ones(b.num_rows, bool), {}
-            for i, (hit, starts, ends, _) in enumerate(_hits(column, parts)):
+            for i, (hit, starts, ends, _) in enumerate(_hits(column, own)):
                 if not hit.any():
                     continue
                 if hit.sum() > coverage * len(hit):
@@ -315,7 +336,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, cove
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "benchmark"))
 
 
 OP3_SQL = r"""

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .embedding_dedup import forest
-from .shared import components, made_filter, stored, table, whole_groups
+from .shared import components, made_filter, spread, stored, table, unused, whole_groups
 
 #: Classes of a tile at most, about.
 TILE = 512
@@ -354,12 +354,18 @@ def distinct_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     best = ngram_join(docs, n, percent)
     keep, _ = stored(best.where("doc_id = component_id").select("doc_id").distinct(), "ngram-kept")
     named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
-    once = named.withColumn("_same", F.xxhash64("text")).dropDuplicates(["doc_id", "_same"]).select(*docs.columns)
+    same = unused(docs, "_same")
+    once = named.withColumn(same, F.sha2("text", 256)).dropDuplicates(["doc_id", same]).select(*docs.columns)
     return once.unionByName(docs.where("doc_id is null"))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(table(spark, sf_dir, "documents"))
+    return ngram_join(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def ngram_components_of_five(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join as the pipeline's stage has it: five words, a similarity of 0.8."""
+    return ngram_join(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), n=5, percent=80)
 
 
 OP4_SQL = r"""
@@ -376,3 +382,4 @@ c as (select x, least(x, min(y)) as component_id from r group by x)
 select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(c.component_id, d.doc_id)::bigint as component_id
 from d left join n on n.doc_id = d.doc_id left join c on c.x = d.doc_id
 """
+OP4_FIVE_SQL = OP4_SQL.replace("len(w) >= 4", "len(w) >= 5").replace("len(w) - 2", "len(w) - 3").replace("i + 3", "i + 4").replace(">= 85 *", ">= 80 *")

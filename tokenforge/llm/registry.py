@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontamination import OP3_SQL, op3_decontamination
 from .embedding_dedup import OP8_SQL, op8_embedding_dedup
 from .mixing import op2_mixing
-from .ngram_join import OP4_SQL, op4_ngram_join
+from .ngram_join import OP4_FIVE_SQL, OP4_SQL, ngram_components_of_five, op4_ngram_join
 from .quality import op5_quality
-from .secret_scans import op10_secret_scans
+from .secret_scans import SECRET_COUNTS_SQL, op10_secret_scans, secret_base_counts
 from .substring_dedup import OP1_SQL, op1_substring_dedup
-from .token_counts import op6_token_counts
+from .token_counts import TOKEN_BYTES_SQL, op6_token_counts, token_count_bytes
 from .url_filters import OP9_SQL, URL_LINKS_SQL, op9_url_filters, url_filters_over_links
 from .warc import OP7_SQL, op7_warc
 
@@ -31,6 +31,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_filters": op9_url_filters,
         "op10_secret_scans": op10_secret_scans,
         "url_filters_over_links": url_filters_over_links,
+        "token_count_bytes": token_count_bytes,
+        "secret_base_counts": secret_base_counts,
+        "ngram_components_of_five": ngram_components_of_five,
     }
 
 
@@ -43,4 +46,7 @@ def oracle_sql() -> dict[str, str]:
         "op8_embedding_dedup": OP8_SQL,
         "op9_url_filters": OP9_SQL,
         "url_filters_over_links": URL_LINKS_SQL,
+        "token_count_bytes": TOKEN_BYTES_SQL,
+        "secret_base_counts": SECRET_COUNTS_SQL,
+        "ngram_components_of_five": OP4_FIVE_SQL,
     }

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from . import textkit as tk
-from .shared import table
+from .shared import spread, table
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -422,4 +422,19 @@ def redacted(docs: DataFrame, rate: float = RATE) -> DataFrame:
 
 
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scans(table(spark, sf_dir, "documents"))
+    return secret_scans(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def secret_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can express of the scan's rows: the counts by fixed pattern."""
+    return op10_secret_scans(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+SECRET_COUNTS_SQL = r"""
+select doc_id,
+  len(list_filter(regexp_extract_all(coalesce(text, ''), '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2),
+    lambda x: length(x) >= 12))::bigint as n_assign,
+  len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 18))::bigint as n_access,
+  len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 16))::bigint as n_hex
+from documents
+"""

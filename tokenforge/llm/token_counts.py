@@ -1,7 +1,8 @@
 """Token counts through a digest cache (operator 6).
 
-Content digests and the tokenizer's version digest are joined to a stored table of counts; texts whose digest is
-missing are made distinct, encoded once, and appended to that table; a second join gives every row its count.
+Content digests and the tokenizer's version digest are joined to a stored table of counts, before any text is moved; texts
+whose digest is missing are made distinct, encoded once, and appended to that table; a last join gives every row its
+count.  While at most FEW digests are missing they are broadcast, so with a warm cache only those texts are shuffled.
 
 Defined cases: a null text counts as the empty text (0 bytes, 0 tokens); repeated rows each get a row; an empty
 table gives an empty result; other columns of the input are ignored; the normalisation of the content is only
@@ -21,8 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import fresh_path, stored, table
+from .shared import dropped, fresh_path, spread, stored, table
 
+#: Missing digests that are broadcast at most: 32 bytes each.
+FEW = 100_000
 #: Texts of these characters only, whose classes are the same in every Unicode version, take the fast path.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-¬®-ɏ]*")
 _LONG = re.compile(r"\S{4000}|\s{4000}")
@@ -153,9 +156,15 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 512)
             held = spark.createDataFrame([], schema)
         return held.where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
-    misses = keyed.select("digest", "text").dropDuplicates(["digest"]).join(cached(), "digest", "left_anti")
+    missing, missing_path = stored(keyed.select("digest").distinct().join(cached(), "digest", "left_anti"), "token-misses")
+    n, texts = missing.count(), keyed.select("digest", "text")
+    if n <= FEW:
+        misses = texts.join(F.broadcast(missing), "digest", "left_semi").dropDuplicates(["digest"])
+    else:
+        misses = texts.dropDuplicates(["digest"]).join(missing, "digest", "left_semi")
     new = misses.mapInArrow(_encode(tokenizer), "digest binary, n_tokens long")
     new.withColumn("tokenizer", F.lit(version)).write.mode("append").parquet(cache)
+    dropped(spark, missing_path)
     # stored once more, so that the join's sides are plain exchanges whose hot digests can be split
     counts, _ = stored(cached(), "token-counts")
     return (
@@ -169,4 +178,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return token_counts(table(spark, sf_dir, "documents"), path, fresh_path(spark, "token-count-cache"))
+    return token_counts(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), path, fresh_path(spark, "token-count-cache"))
+
+
+def token_count_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can express of the counts' rows: a row for each document with its bytes."""
+    return op6_token_counts(spark, sf_dir).select("doc_id", "n_bytes", (F.col("n_tokens") <= F.col("n_bytes")).alias("at_most_bytes"))
+
+
+TOKEN_BYTES_SQL = "select doc_id, strlen(coalesce(text, ''))::bigint as n_bytes, true as at_most_bytes from documents"
