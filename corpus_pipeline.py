@@ -3,6 +3,12 @@
 Stages take and return the columns of ``documents``; the last returns what is sampled: a row for each document with a
 rate above 0, its tokens, domain posteriors and rate.  SQL cannot express the classifiers, so there is no oracle;
 tests compare the stages with brute force.
+
+Defined cases: null and empty texts are documents without words, which the classifier judges like all others, link with
+nothing and hold no passage and no secret; their rate is that of their posteriors.  Repeated rows of one doc_id and text
+become one, rows without a doc_id all stay.  Without labels every document scores 0.5 and stays, and rates are 1; without
+benchmark items nothing is removed.  An empty table gives an empty result.  Columns beside doc_id and text go through as they
+are, whatever their names; ``lang`` and ``source`` are in the last stage's rows.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ from tokenforge.llm.mixing import label_domains, mixed
 from tokenforge.llm.ngram_join import distinct_documents
 from tokenforge.llm.quality import fit
 from tokenforge.llm.secret_scans import redacted
-from tokenforge.llm.shared import stored, table
+from tokenforge.llm.shared import stored, table, unused
 
 #: Documents below this probability of good quality go.
 LEAST_QUALITY = 0.5
@@ -24,7 +30,8 @@ LEAST_QUALITY = 0.5
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that the classifier finds as likely good as not."""
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return model.scored(docs, "_score").where(F.col("_score") >= LEAST_QUALITY).drop("_score")
+    score = unused(docs, "score")
+    return model.scored(docs, score).where(F.col(score) >= LEAST_QUALITY).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
