@@ -4,6 +4,7 @@ import sys
 import textwrap
 
 import corpus_pipeline as P
+from tests.llm.cases import documents, frame
 from tests.llm.test_decontamination import brute as contamination
 from tests.llm.test_ngram_join import brute as components
 from tests.llm.test_secret_scans import base
@@ -50,6 +51,35 @@ def test_run_gives_the_last_stage(spark, sf):
     assert {"doc_id", "n_tokens", "rate"} <= set(out.columns) and out.count() > 0
 
 
+def tables(spark, folder, rows, items, labels):
+    frame(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def test_nulls_repeats_and_clashing_names(spark, tmp_path):
+    rows = documents()
+    labels = [(i, 1, 0) for i, _ in rows if i is not None and i % 3] + [(5, 0, 0), (6, 0, 1), (None, 1, 0), (10, None, None)]
+    folder = tables(spark, f"file://{tmp_path}", rows, [(1, None), (2, "one two three")], labels)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    names = docs.columns
+    for k, (_, stage) in enumerate(P.STAGES[:-1]):
+        docs, _ = stored(stage(spark, docs, folder), f"odd-{k}")
+        assert docs.columns == names
+    got = {r["doc_id"] for r in docs.collect()}
+    assert got <= {i for i, _ in rows} and docs.where("doc_id = 80").count() <= 1
+    out = P.run(spark, folder)
+    assert {"doc_id", "lang", "source", "n_tokens", "rate"} <= set(out.columns)
+
+
+def test_empty_tables(spark, tmp_path):
+    rows = [(1, "some words of a text"), (2, None), (3, "and others in another one")]
+    out = P.run(spark, tables(spark, f"file://{tmp_path}/a", rows, [], []))
+    assert sorted((r["doc_id"], r["rate"]) for r in out.collect()) == [(1, 1.0), (2, 1.0), (3, 1.0)]
+    assert P.run(spark, tables(spark, f"file://{tmp_path}/b", [], [(1, "a b")], [(1, 1, 0)])).count() == 0
+
+
 def test_entry_works_without_the_package(tmp_path):
     code = f"""
     import sys, importlib.abc
