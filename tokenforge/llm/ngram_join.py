@@ -8,7 +8,8 @@ passages that many documents hold from tying them together.  N-grams that repeat
 common group and the rest are salted, so that a frequent n-gram is dealt to many tasks.
 
 Survivors that share first n-grams and have sizes in reach of each other form blocks.  A block, or a pair of tiles of at
-most TILE classes from one, is a unit of work; its sets are cut along the global order into FRAGMENTS vertical fragments.
+most TILE classes and TILE_GRAMS n-grams from one (about: tiles are dealt by hash), is a unit of work; only tiles that
+share one of those first n-grams are paired.  A unit's sets are cut along the global order into FRAGMENTS vertical fragments.
 Each fragment counts the partial overlaps of its pairs on its own, the counts are summed per pair, and pairs at or above
 the threshold link.  A unit returns a spanning forest of its links, so that groups of near copies never become pairs.
 
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
@@ -34,6 +35,8 @@ from .shared import components, made_filter, spread, stored, table, unused, whol
 
 #: Classes of a tile at most, about.
 TILE = 512
+#: N-grams of all classes of a tile at most, about: 16 MB.
+TILE_GRAMS = 1 << 21
 #: Vertical fragments of a unit of work.
 FRAGMENTS = 4
 _TURN = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -77,6 +80,11 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
+def _band(n: Column, percent: int) -> Column:
+    """The band of a set's size: those of linked sets are the same or neighbours."""
+    return F.floor(F.log(n.cast("double")) / F.lit(-math.log(percent / 100)) + F.lit(1e-9)).cast("int")
+
+
 def spare(n: int) -> int:
     """How many first n-grams two sets must share beyond the one that any link implies."""
     return max(1, n // 16)
@@ -244,39 +252,34 @@ def _summed(percent: int):
     return run
 
 
-def _units(survivors: DataFrame, percent: int, tile: int) -> DataFrame:
-    """``(digest, n, unit, side)``: the units of work of each survivor ``(digest, n, block)``."""
-    counts = survivors.groupBy("block").agg(F.count("*").alias("m"))
-    small = counts.where((F.col("m") > 1) & (F.col("m") <= tile)).select("block")
+def _units(survivors: DataFrame, telling: DataFrame, percent: int, tile: int) -> DataFrame:
+    """``(digest, n, unit, side)``: the units of work of each survivor ``(digest, n, block)``.
+
+    ``telling(token, digest)``: the n-grams of which linked sets share one at least.
+    """
+    g = F.greatest(F.ceil(F.count("*") / F.lit(tile)), F.ceil(F.sum(F.col("n").cast("long")) / F.lit(TILE_GRAMS))).cast("int")
+    counts = survivors.groupBy("block").agg(F.count("*").alias("m"), g.alias("g"))
+    small = counts.where("m > 1 and g = 1").select("block")
     whole = survivors.join(small, "block").select("digest", "n", F.concat(F.lit("b"), F.col("block")).alias("unit"), F.lit(0).alias("side"))
     # sizes of linked sets lie in the same or in neighbouring bands
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(percent / 100)) + F.lit(1e-9)).cast("int")
-    large = survivors.join(counts.where(F.col("m") > tile).select("block"), "block").withColumn("band", band)
-    tiles = large.groupBy("block", "band").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("g"))
+    large = survivors.join(counts.where("g > 1").select("block"), "block").withColumn("band", _band(F.col("n"), percent))
+    parts = large.groupBy("block", "band").agg(g.alias("g"))
+    # classes that share their leading n-gram lie together, so that few tiles share any
+    lead = telling.groupBy("digest").agg(F.min("token").alias("lead"))
+    dealt = large.join(parts, ["block", "band"]).join(lead, "digest")
+    # a crowded leading n-gram is cut by the classes' own digests, into quarters of tiles so that tiles are even
+    crowd = dealt.groupBy("block", "band", "lead").agg((g * 4 - 3).alias("cuts"))
+    place = F.pmod(F.xxhash64("lead", F.pmod("digest", F.col("cuts"))), F.col("g")).cast("int")
+    tiles = dealt.join(crowd, ["block", "band", "lead"]).select("digest", "n", F.struct("block", "band", place.alias("t")).alias("tile"))
     tiles, _ = stored(tiles, "ngram-tiles")
-    nxt = tiles.select("block", (F.col("band") - 1).alias("band"), F.col("g").alias("up"))
-    prv = tiles.select("block", (F.col("band") + 1).alias("band"), F.col("g").alias("down"))
-    around = tiles.join(nxt, ["block", "band"], "left").join(prv, ["block", "band"], "left")
-    placed = large.join(around, ["block", "band"]).withColumn("t", F.pmod(F.xxhash64("digest"), F.col("g")).cast("int"))
-    none = F.array().cast("array<struct<unit:string,side:int>>")
-    same = F.transform(
-        F.sequence(F.lit(0), F.col("g") - 1),
-        lambda j: F.struct(
-            F.concat_ws("|", "block", "band", F.least(j, F.col("t")), F.greatest(j, F.col("t"))).alias("unit"),
-            F.when(j < F.col("t"), 1).otherwise(0).alias("side"),
-        ),
-    )
-    upper = F.transform(
-        F.sequence(F.lit(0), F.col("up") - 1),
-        lambda j: F.struct(F.concat_ws("|", "block", "band", F.lit("up"), F.col("t"), j).alias("unit"), F.lit(0).alias("side")),
-    )
-    lower = F.transform(
-        F.sequence(F.lit(0), F.col("down") - 1),
-        lambda j: F.struct(F.concat_ws("|", "block", F.col("band") - 1, F.lit("up"), j, F.col("t")).alias("unit"), F.lit(1).alias("side")),
-    )
-    every = F.concat(same, F.coalesce(upper, none), F.coalesce(lower, none))
-    cut = placed.select("digest", "n", F.explode(every).alias("x")).select("digest", "n", "x.unit", "x.side")
-    return whole.unionByName(cut)
+    held = telling.join(tiles.select("digest", "tile"), "digest").select("token", "tile").distinct()
+    other = held.select("token", F.col("tile").alias("tile2"))
+    pairs = held.join(other, "token").where("tile.block = tile2.block and tile <= tile2 and tile2.band - tile.band <= 1").select("tile", "tile2").distinct()
+    name = F.concat_ws("|", "tile.block", "tile.band", "tile.t", "tile2.band", "tile2.t")
+    pairs, _ = stored(pairs.withColumn("unit", name), "ngram-tile-pairs")
+    own = tiles.join(pairs.select("tile", "unit"), "tile").select("digest", "n", "unit", F.lit(0).alias("side"))
+    far = pairs.where("tile <> tile2").select(F.col("tile2").alias("tile"), "unit")
+    return whole.unionByName(own).unionByName(tiles.join(far, "tile").select("digest", "n", "unit", F.lit(1).alias("side")))
 
 
 def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,16 +324,18 @@ def ngram_join(docs: DataFrame, n: int = 4, percent: int = 85, tile: int = TILE)
     often = own.groupBy("token").agg(F.count("*").alias("often"))
     place = F.row_number().over(Window.partitionBy("digest").orderBy(F.desc("often"), F.desc("token")))
     telling = own.join(often, "token").withColumn("place", place).where(F.col("place") >= least)
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(percent / 100)) + F.lit(1e-9)).cast("int")
+    telling, _ = stored(telling.select("token", "digest", "n"), "ngram-telling")
+    band = _band(F.col("n"), percent)
     reach = telling.select("token", "digest", F.explode(F.array(band, band + 1)).alias("band"))
-    leader = F.min("digest").over(Window.partitionBy("token", "band"))
-    edges = reach.withColumn("leader", leader).where("digest <> leader").select(F.col("digest").alias("src"), F.col("leader").alias("dst")).distinct()
+    # the least of each is found by partial aggregates, so a hot n-gram is not one task's
+    leaders = reach.groupBy("token", "band").agg(F.min("digest").alias("leader"), F.max("digest").alias("last")).where("leader < last").drop("last")
+    edges = reach.join(leaders, ["token", "band"]).where("digest <> leader").select(F.col("digest").alias("src"), F.col("leader").alias("dst")).distinct()
     blocks = components(edges, "ngram-blocks").withColumnsRenamed({"id": "digest", "component": "block"})
     live, _ = stored(classes.select("digest", "n").join(blocks, "digest"), "ngram-live")
     wanted = spark.sparkContext.broadcast(made_filter(live, "digest", live.count()))
     sets = docs.select("text").mapInArrow(_sets(n, wanted), "digest long, grams binary").dropDuplicates(["digest"])
     sets, _ = stored(sets, "ngram-sets")
-    work = _units(live, percent, tile).join(sets, "digest").select("unit", "side", "digest", "n", "grams")
+    work = _units(live, telling, percent, tile).join(sets, "digest").select("unit", "side", "digest", "n", "grams")
     pieces = work.mapInArrow(_fragments, "unit string, side int, digest long, n int, fragment int, grams binary")
     partial = pieces.repartition("unit", "fragment").sortWithinPartitions("unit", "fragment").mapInArrow(
         _partial, "unit string, digests binary, sizes binary, split int, counts binary"
