@@ -13,11 +13,12 @@ symbols before it and the longest common prefixes of neighbours are updated from
 a file that is read once in sequence, so a task holds a few numbers a context, not the text.  A window repeats exactly
 where its suffix shares ``width`` symbols with a neighbour.
 
-Grams of very many contexts are cut into pieces of PIECE windows that are dealt by the text common to a piece's
-windows, so that no task gets them all.  Equal texts are worked on once.  Texts are only moved for documents that lose
-bytes and for contexts that are compared.
+Grams of more than HOT contexts would be collections that no task should hold.  Their windows are told apart one by one, by
+128 bits of gram and window hash, and counted: a batch sends a window once, and settles its own repeats itself, so a
+passage that very many documents hold is one row a batch for its key.  Equal texts are worked on once.  Texts are only
+moved for documents that lose bytes and for contexts that are compared.
 
-Texts are told apart by 64-bit digests, equal contexts by 128 bits of gram and context hash.
+Texts are told apart by 128-bit digests, equal contexts by 128 bits of gram and context hash.
 
 Defined cases: null text is empty; texts of fewer bytes than ``width`` lose nothing; repeated rows are documents of
 their own, so both lose what they share; an empty table gives an empty result; other columns are ignored.
@@ -26,25 +27,33 @@ their own, so both lose what they share; an empty table gives an empty result; o
 from __future__ import annotations
 
 import hashlib
-import tempfile
+import io
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .shared import made_filter, stored, table, whole_groups
+from .shared import fresh_path, made_filter, spread, stored, table, whole_groups
 
 WIDTH, GRAM = 200, 64
-#: Grams with more contexts are cut into pieces of PIECE windows; at most HOT_MOST of them, the most frequent ones.
-HOT, HOT_MOST, PIECE = 4096, 1 << 20, 8
+#: Grams with more contexts are counted by windows.
+HOT = 4096
 _TURN = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
-def text_digest(raw: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+def text_digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def _heads(digests: list[bytes] | pa.Array) -> np.ndarray:
+    """The first 64 bits of digests, by which filters hold them and rows are spread."""
+    joined = b"".join(digests if isinstance(digests, list) else digests.to_pylist())
+    return np.ascontiguousarray(np.frombuffer(joined, np.int64).reshape(-1, 2)[:, 0])
 
 
 def gram_hashes(text: np.ndarray) -> np.ndarray:
@@ -94,7 +103,7 @@ def anchors(text: np.ndarray, own: np.ndarray, width: int = WIDTH) -> tuple[np.n
     return h[a], tk.mix(c), lo, hi, a
 
 
-def _distinct(column: pa.Array) -> tuple[list[int], list[int], list[int]]:
+def _distinct(column: pa.Array) -> tuple[list[bytes], list[int], list[int]]:
     """Digests and byte lengths of all rows, and the rows that are the first of their digest."""
     digests, sizes, first, seen = [], [], [], set()
     for i, x in enumerate(column):
@@ -109,10 +118,11 @@ def _distinct(column: pa.Array) -> tuple[list[int], list[int], list[int]]:
     return digests, sizes, first
 
 
-def _contexts(column: pa.Array, digests: list[int], first: list[int], width: int) -> Iterator[tuple]:
-    """Contexts of the distinct texts of a batch, a slice at a time: arrays and the slice's bytes and offsets."""
+def _contexts(column: pa.Array, first: list[int], width: int) -> Iterator[tuple]:
+    """Contexts of the distinct texts of a batch, a slice at a time: arrays (texts by their row in the batch) and the
+    slice's bytes and offsets."""
     column = column.take(pa.array(first, pa.int64()))
-    names = np.array([digests[i] for i in first], np.int64)
+    names = np.array(first, np.int64)
     buf, off = tk.flat(column)
     for a, b in tk.slices(off):
         text, own = buf[off[a] : off[b]], off[a : b + 1] - off[a]
@@ -121,12 +131,70 @@ def _contexts(column: pa.Array, digests: list[int], first: list[int], width: int
         yield h.view(np.int64), c.view(np.int64), names[a + row], lo - own[row], hi - own[row], at - own[row], text, own[row]
 
 
-_FIRST = "h long, salt int, c long, t long, place long, flag int"
-_FIRST_SCHEMA = pa.schema([("h", pa.int64()), ("salt", pa.int32()), ("c", pa.int64()), ("t", pa.int64()), ("place", pa.int64()), ("flag", pa.int32())])
+_FIRST = "h long, salt int, c long, t binary, place long, flag int"
+_FIRST_SCHEMA = pa.schema([("h", pa.int64()), ("salt", pa.int32()), ("c", pa.int64()), ("t", pa.binary()), ("place", pa.int64()), ("flag", pa.int32())])
 #: Flags: what a batch knows of a context.
 DOC, MULTI, SAME = -1, 1, 2
 
 
+def _first_rows(h, salt, c, names: pa.Array, t, place, flag) -> Iterator[pa.RecordBatch]:
+    for s in range(0, len(h), 1 << 16):
+        part = slice(s, s + (1 << 16))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(h[part]), pa.array(salt[part], pa.int32()), pa.array(c[part]), names.take(pa.array(t[part])), pa.array(place[part]), pa.array(flag[part], pa.int32())],
+            schema=_FIRST_SCHEMA,
+        )
+
+
+def _windows(shared, width: int):
+    """The windows of hot grams, each once a batch (SAME where the batch has it again), and stretches of the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, hot = shared.value
+        for b in batches:
+            column = b.column("text")
+            digests, _, first = _distinct(column)
+            parts = []
+            for h, _, t, lo, hi, _, text, base in _contexts(column, first, width):
+                at = np.flatnonzero(hot.has(h)) if len(h) else np.zeros(0, np.int64)
+                if not len(at):
+                    continue
+                size = hi[at] - lo[at] + 1
+                own = np.repeat(at, size)
+                start = lo[own] + np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
+                grams, p = gram_hashes(text), base[own] + start
+                c = np.zeros(len(p), np.uint64)
+                # blocks of GRAM bytes, from both ends, cover a window
+                for k, q in enumerate([*range(0, width - GRAM, GRAM), width - GRAM]):
+                    c += tk.mix(grams[p + q] + _TURN[k % len(_TURN)]) * _TURN[k % len(_TURN)]
+                parts.append((h[own], tk.mix(c).view(np.int64), t[own], start))
+            if not parts:
+                continue
+            names, heads = pa.array(digests, pa.binary()), _heads(digests)
+            h, c, t, start = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.lexsort((c, h))
+            h, c, t, start = h[order], c[order], t[order], start[order]
+            new = np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))
+            last = np.concatenate((new[1:], [True]))
+            one = np.flatnonzero(new)
+            yield from _first_rows(h[one], np.zeros(len(one)), c[one], names, t[one], start[one] << 8, np.where(last[one], 0, SAME))
+            again = np.flatnonzero(~new)
+            if len(again):
+                again = again[np.lexsort((start[again], t[again]))]
+                t, start = t[again], start[again]
+                run = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (start[1:] != start[:-1] + 1))))
+                # a stretch is at most 200 windows long, as its place has eight bits for that
+                long = np.diff(np.concatenate((run, [len(t)])))
+                cuts = -(-long // 200)
+                at = np.repeat(run, cuts) + 200 * (np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts))
+                size = np.diff(np.concatenate((at, [len(t)])))
+                zero = np.zeros(len(at), np.int64)
+                own = tk.mix(heads[t[at]].view(np.uint64) + start[at].astype(np.uint64)).view(np.int64)
+                yield from _first_rows(own, zero + 1, zero, names, t[at], start[at] << 8 | size - 1, zero + SAME)
+
+    return run
+
+
 def _first(width: int):
     """Contexts of distinct texts, with what their batch shows, and a row for each document (flag DOC)."""
 
@@ -134,14 +202,15 @@ def _first(width: int):
         for b in batches:
             column = b.column("text")
             digests, sizes, first = _distinct(column)
-            k = len(digests)
-            t = np.array(digests, np.int64)
-            spread = tk.mix(t.view(np.uint64) + np.arange(k, dtype=np.uint64)).view(np.int64)
+            if not digests:
+                continue
+            k, names, heads = len(digests), pa.array(digests, pa.binary()), _heads(digests)
+            dealt = tk.mix(heads.view(np.uint64) + np.arange(k, dtype=np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(spread), pa.array(np.full(k, -1, np.int32)), pa.array(np.zeros(k, np.int64)), pa.array(t), pa.array(sizes, pa.int64()), pa.array(np.full(k, DOC, np.int32))],
+                [pa.array(dealt), pa.array(np.full(k, -1, np.int32)), pa.array(np.zeros(k, np.int64)), names, pa.array(sizes, pa.int64()), pa.array(np.full(k, DOC, np.int32))],
                 schema=_FIRST_SCHEMA,
             )
-            parts = [(h, c, t, lo << 8 | hi - lo) for h, c, t, lo, hi, *_ in _contexts(column, digests, first, width) if len(h)]
+            parts = [(h, c, t, lo << 8 | hi - lo) for h, c, t, lo, hi, *_ in _contexts(column, first, width) if len(h)]
             if not parts:
                 continue
             h, c, t, place = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -156,23 +225,18 @@ def _first(width: int):
             flag[new_c & (kinds[group] > 1)] |= MULTI
             # repeats, and contexts between a gram's first and last, need not meet the common group
             ends = new_c & (new_h | (np.cumsum(new_c) == np.cumsum(kinds).astype(np.int64)[group]))
-            salt = np.where(ends, 0, np.where(new_c, 2 + (c & 63), 2 + (t & 63))).astype(np.int32)
-            for s in range(0, len(h), 1 << 16):
-                part = slice(s, s + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (h, salt, c, t, place, flag)], schema=_FIRST_SCHEMA)
+            salt = np.where(ends, 0, np.where(new_c, 2 + (c & 63), 2 + (heads[t] & 63))).astype(np.int32)
+            yield from _first_rows(h, salt, c, names, t, place, flag)
 
     return run
 
 
-_STRINGS = "h long, sub long, t long, start long, back int, stop long, text binary"
-_STRINGS_SCHEMA = pa.schema([("h", pa.int64()), ("sub", pa.int64()), ("t", pa.int64()), ("start", pa.int64()), ("back", pa.int32()), ("stop", pa.int64()), ("text", pa.binary())])
+_STRINGS = "h long, t binary, start long, back int, text binary"
+_STRINGS_SCHEMA = pa.schema([("h", pa.int64()), ("t", pa.binary()), ("start", pa.int64()), ("back", pa.int32()), ("text", pa.binary())])
 
 
 def _strings(shared, width: int):
-    """Contexts of grams in the filter, each once a batch, and pieces of those of hot grams.
-
-    A row without text is a stretch that the batch has settled already, from all equal pieces of a text joined.
-    """
+    """Contexts of grams in the filter that are not hot, each once a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, hot = shared.value
@@ -180,80 +244,74 @@ def _strings(shared, width: int):
             column = b.column("text")
             digests, _, first = _distinct(column)
             seen: set[tuple[int, int]] = set()
-            pieces: dict[tuple[int, int, bytes], tuple | None] = {}
             rows: list[tuple] = []
-            settled: dict[int, list[tuple[int, int]]] = {}
-            for h, c, t, lo, hi, at, text, base in _contexts(column, digests, first, width):
-                for i in np.flatnonzero(wanted.has(h)):
+            for h, c, t, lo, hi, at, text, base in _contexts(column, first, width):
+                told = wanted.has(h)
+                if hot is not None:
+                    told &= ~hot.has(h)
+                for i in np.flatnonzero(told):
                     x, y = int(h[i]), int(c[i])
-                    k = np.searchsorted(hot, x)
-                    if k < len(hot) and hot[k] == x:
-                        # windows by their distance d = anchor - start, in pieces of PIECE distances
-                        for p in range(int(at[i] - hi[i]) // PIECE, int(at[i] - lo[i]) // PIECE + 1):
-                            s = max(int(lo[i]), int(at[i]) - p * PIECE - PIECE + 1)
-                            e = min(int(hi[i]), int(at[i]) - p * PIECE) + width
-                            core = int(at[i]) - p * PIECE
-                            inner = text[base[i] + core : base[i] + core - PIECE + 1 + width].tobytes()
-                            raw = text[base[i] + s : base[i] + e].tobytes()
-                            key = (x, text_digest(p.to_bytes(4, "little") + inner) | 1, raw)
-                            old = pieces.get(key, 0)
-                            if old == 0:
-                                pieces[key] = (int(t[i]), s, int(at[i]) - s, e)
-                                continue
-                            if old is not None:  # the first of equal pieces is settled with the second
-                                settled.setdefault(old[0], []).append((old[1], old[3]))
-                                rows.append((key[0], key[1], old[0], old[1], old[2], old[3], raw))
-                                pieces[key] = None
-                            settled.setdefault(int(t[i]), []).append((s, e))
-                    elif (x, y) not in seen:
+                    if (x, y) not in seen:
                         seen.add((x, y))
-                        rows.append((x, 0, int(t[i]), int(lo[i]), int(at[i] - lo[i]), int(hi[i]) + width, text[base[i] + lo[i] : base[i] + hi[i] + width].tobytes()))
+                        rows.append((x, digests[t[i]], int(lo[i]), int(at[i] - lo[i]), text[base[i] + lo[i] : base[i] + hi[i] + width].tobytes()))
                 if len(rows) > 20_000:
                     yield pa.RecordBatch.from_pydict(dict(zip(_STRINGS_SCHEMA.names, zip(*rows, strict=True), strict=True)), schema=_STRINGS_SCHEMA)
                     rows = []
-            rows += [(x, sub, *v, raw) for (x, sub, raw), v in pieces.items() if v is not None]
-            rows += [(k, k, k, s, 0, e, None) for k, spans in settled.items() for s, e in merged(spans)]
-            for s in range(0, len(rows), 20_000):
-                yield pa.RecordBatch.from_pydict(dict(zip(_STRINGS_SCHEMA.names, zip(*rows[s : s + 20_000], strict=True), strict=True)), schema=_STRINGS_SCHEMA)
+            if rows:
+                yield pa.RecordBatch.from_pydict(dict(zip(_STRINGS_SCHEMA.names, zip(*rows, strict=True), strict=True)), schema=_STRINGS_SCHEMA)
 
     return run
 
 
 class Columns:
-    """Strings aligned at their anchors, as symbols by column in an external file that is read from the last column on.
+    """Strings aligned at their anchors, as symbols by column in an external file, from the last column on.
 
-    A symbol is a byte plus one; 0 stands where a string has none.
+    A symbol is a byte plus one; 0 stands where a string has none.  The file is written and read once in sequence, in the
+    shared folder (or in memory, without one), a block of columns at a time.
     """
 
-    def __init__(self, texts: list[bytes], back: np.ndarray) -> None:
+    def __init__(self, texts: list[bytes], back: np.ndarray, folder: str | None = None) -> None:
         size = np.array([len(x) for x in texts], np.int64)
         self.left = int(back.max())
         self.width = int((size - back).max()) + self.left
         self.rows = len(texts)
-        self.file = tempfile.TemporaryFile()
-        self.file.truncate(2 * self.width * self.rows)
-        if self.width * self.rows:
-            grid = np.memmap(self.file, np.uint16, "r+", shape=(self.width, self.rows))
-            for lo in range(0, self.rows, 4096):
-                part = np.zeros((min(4096, self.rows - lo), self.width), np.uint16)
-                for i in range(len(part)):
-                    s = self.left - int(back[lo + i])
-                    part[i, s : s + size[lo + i]] = np.frombuffer(texts[lo + i], np.uint8)
-                    part[i, s : s + size[lo + i]] += 1
-                grid[:, lo : lo + len(part)] = part.T
-            grid.flush()
-            del grid
+        self.step = max(1, (1 << 22) // max(1, 2 * self.rows))
+        flat = np.frombuffer(b"".join(texts) or b"\0", np.uint8)
+        begin, shift = np.cumsum(size) - size, self.left - back
+        self.fs = self.path = None
+        if folder is None:
+            self.file = out = io.BytesIO()
+        else:
+            self.fs, base = pafs.FileSystem.from_uri(folder)
+            self.fs.create_dir(base, recursive=True)
+            self.path = f"{base}/{uuid.uuid4().hex}"
+            out = self.fs.open_output_stream(self.path)
+        for lo, hi in self._blocks():
+            at = np.arange(hi - 1, lo - 1, -1)[:, None] - shift[None]
+            there = (at >= 0) & (at < size)
+            symbols = flat[np.where(there, at + begin, 0)].astype(np.uint16) + np.uint16(1)
+            out.write(np.where(there, symbols, np.uint16(0)).tobytes())
+        if self.path is None:
+            out.seek(0)
+        else:
+            out.close()
+            self.file = self.fs.open_input_stream(self.path)
+
+    def _blocks(self) -> Iterator[tuple[int, int]]:
+        for hi in range(self.width, 0, -self.step):
+            yield max(0, hi - self.step), hi
 
     def __iter__(self) -> Iterator[tuple[int, np.ndarray]]:
         """(column, its symbols), from the last column to the first."""
-        step = max(1, (1 << 22) // max(1, 2 * self.rows))
-        for hi in range(self.width, 0, -step):
-            lo = max(0, hi - step)
-            self.file.seek(2 * lo * self.rows)
-            block = np.frombuffer(self.file.read(2 * (hi - lo) * self.rows), np.uint16).reshape(hi - lo, self.rows)
-            for k in range(hi - lo - 1, -1, -1):
-                yield lo + k, block[k]
-        self.file.close()
+        try:
+            for lo, hi in self._blocks():
+                block = np.frombuffer(self.file.read(2 * (hi - lo) * self.rows), np.uint16).reshape(hi - lo, self.rows)
+                for k in range(hi - lo):
+                    yield hi - 1 - k, block[k]
+        finally:
+            self.file.close()
+            if self.path is not None:
+                self.fs.delete_file(self.path)
 
 
 def repeated_windows(columns: Columns, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -276,22 +334,18 @@ def repeated_windows(columns: Columns, width: int) -> Iterator[tuple[int, np.nda
             yield column, order[far[:-1] | far[1:]]
 
 
-_SPANS = pa.schema([("t", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
+_SPANS = pa.schema([("t", pa.binary()), ("start", pa.int64()), ("stop", pa.int64())])
 
 
-def _repeats(width: int):
-    """Repeated stretches ``(t, start, stop)`` from strings grouped by ``(h, sub)``."""
+def _repeats(width: int, folder: str | None = None):
+    """Repeated stretches ``(t, start, stop)`` from strings grouped by ``h``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, ["h", "sub"]):
-            settled = t.filter(t.column("text").is_null())
-            if settled.num_rows:
-                yield from settled.select(["t", "start", "stop"]).to_batches()
-            t = t.filter(t.column("text").is_valid())
+        for t in whole_groups(batches, ["h"]):
             if t.num_rows < 2:
                 continue
-            names, start, back = t.column("t").to_numpy(), t.column("start").to_numpy(), t.column("back").to_numpy()
-            columns = Columns([x.as_py() for x in t.column("text")], back)
+            names, start, back = t.column("t").combine_chunks(), t.column("start").to_numpy(), t.column("back").to_numpy()
+            columns = Columns([x.as_py() for x in t.column("text")], back, folder)
             who, where = [], []
             for column, strings in repeated_windows(columns, width):
                 who.append(strings)
@@ -306,7 +360,7 @@ def _repeats(width: int):
             hi = np.concatenate((lo[1:], [len(who)])) - 1
             s = start[who[lo]] + where[lo] - columns.left + back[who[lo]]
             e = start[who[lo]] + where[hi] - columns.left + back[who[lo]] + width
-            yield pa.RecordBatch.from_arrays([pa.array(names[who[lo]]), pa.array(s), pa.array(e)], schema=_SPANS)
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(who[lo])), pa.array(s), pa.array(e)], schema=_SPANS)
 
     return run
 
@@ -324,16 +378,18 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The spans of each text as one packed row, from rows grouped by ``t``."""
-    schema = pa.schema([("t", pa.int64()), ("spans", pa.binary())])
+    schema = pa.schema([("t", pa.binary()), ("spans", pa.binary())])
     for table_ in whole_groups(batches, ["t"]):
-        t, s, e = (table_.column(c).to_numpy() for c in ("t", "start", "stop"))
-        edge = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
+        t = table_.column("t").combine_chunks()
+        s, e = (table_.column(c).to_numpy() for c in ("start", "stop"))
+        halves = np.frombuffer(b"".join(t.to_pylist()), np.int64).reshape(-1, 2)
+        edge = np.flatnonzero(np.concatenate(([True], (halves[1:] != halves[:-1]).any(1))))
         stop = np.concatenate((edge[1:], [len(t)]))
         packed = [np.array(merged(list(zip(s[a:b].tolist(), e[a:b].tolist(), strict=True))), np.int64).tobytes() for a, b in zip(edge, stop, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(t[edge]), pa.array(packed, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([t.take(pa.array(edge)), pa.array(packed, pa.binary())], schema=schema)
 
 
-_LAST = "doc_id long, t long, n_bytes long, sha string, text string"
+_LAST = "doc_id long, t binary, n_bytes long, sha string, text string"
 
 
 def _last(shared):
@@ -344,11 +400,11 @@ def _last(shared):
         for b in batches:
             column = b.column("text")
             digests, sizes, _ = _distinct(column)
-            may = losing.has(np.array(digests, np.int64))
+            may = losing.has(_heads(digests)) if digests else np.zeros(0, bool)
             shas = [None if may[i] else hashlib.sha256((column[i].as_py() or "").encode()).hexdigest() for i in range(len(may))]
             texts = [(column[i].as_py() or "") if may[i] else None for i in range(len(may))]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(digests, pa.int64()), pa.array(sizes, pa.int64()), pa.array(shas, pa.string()), pa.array(texts, pa.string())],
+                [b.column("doc_id"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(shas, pa.string()), pa.array(texts, pa.string())],
                 names=["doc_id", "t", "n_bytes", "sha", "text"],
             )
 
@@ -399,18 +455,32 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     start = F.shiftright("place", 8)
     same = known.where("same").select("t", start.alias("start"), (start + F.col("place").bitwiseAND(255) + width).alias("stop"))
     grams, _ = stored(known.where("multi").groupBy("h").agg(F.count("*").alias("n")), "grams")
-    hot = np.array(sorted(r["h"] for r in grams.where(F.col("n") > HOT).orderBy(F.desc("n"), "h").limit(HOT_MOST).collect()), np.int64)
-    shared = spark.sparkContext.broadcast((made_filter(grams, "h", grams.count()), hot))
+    hot = grams.where(F.col("n") > HOT)
+    n_hot = hot.count()
+    # of grams that the second filter takes for hot ones, all are counted by windows
+    shared = spark.sparkContext.broadcast((made_filter(grams, "h", grams.count()), made_filter(hot, "h", n_hot) if n_hot else None))
+    folder = fresh_path(spark, "columns")
+    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
     strings = docs.select("text").mapInArrow(_strings(shared, width), _STRINGS)
-    found = strings.repartition("h", "sub").sortWithinPartitions("h", "sub").mapInArrow(_repeats(width), "t long, start long, stop long")
+    found = strings.repartition("h").sortWithinPartitions("h").mapInArrow(_repeats(width, folder), "t binary, start long, stop long")
     every = whole.unionByName(same).unionByName(found)
-    return every.repartition("t").sortWithinPartitions("t").mapInArrow(_joined, "t long, spans binary")
+    if n_hot:
+        windows = docs.select("text").mapInArrow(_windows(shared, width), _FIRST).withColumn("times", F.count("*").over(by_context))
+        again = windows.where((F.col("flag") == SAME) | (F.col("salt") == 0) & (F.col("times") > 1))
+        every = every.unionByName(again.select("t", start.alias("start"), (start + F.col("place").bitwiseAND(255) + width).alias("stop")))
+    return every.repartition("t").sortWithinPartitions("t").mapInArrow(_joined, "t binary, spans binary")
+
+
+def _filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        if b.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array(_heads(b.column("t")))], names=["t"])
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` for every row of ``docs(doc_id, text)``."""
     spans, _ = stored(repeated_spans(docs, width), "spans")
-    losing = docs.sparkSession.sparkContext.broadcast(made_filter(spans, "t", spans.count()))
+    losing = docs.sparkSession.sparkContext.broadcast(made_filter(spans.select("t").mapInArrow(_filtered, "t long"), "t", spans.count()))
     laid = docs.select("doc_id", "text").mapInArrow(_last(losing), _LAST)
     return laid.join(spans, "t", "left").select("doc_id", "n_bytes", "sha", "text", "spans").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -418,7 +488,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(table(spark, sf_dir, "documents"))
+    return substring_dedup(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 OP1_SQL = """
