@@ -275,7 +275,7 @@ class Columns:
         self.left = int(back.max())
         self.width = int((size - back).max()) + self.left
         self.rows = len(texts)
-        self.step = max(1, (1 << 22) // max(1, 2 * self.rows))
+        self.step = max(1, (1 << 20) // max(1, 2 * self.rows))
         flat = np.frombuffer(b"".join(texts) or b"\0", np.uint8)
         begin, shift = np.cumsum(size) - size, self.left - back
         self.fs = self.path = None
