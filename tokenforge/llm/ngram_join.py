@@ -257,7 +257,8 @@ def _units(survivors: DataFrame, telling: DataFrame, percent: int, tile: int) ->
 
     ``telling(token, digest)``: the n-grams of which linked sets share one at least.
     """
-    g = F.greatest(F.ceil(F.count("*") / F.lit(tile)), F.ceil(F.sum(F.col("n").cast("long")) / F.lit(TILE_GRAMS))).cast("int")
+    # tiles are dealt by hash, so they are planned a quarter smaller than they may be
+    g = F.greatest(F.ceil(F.count("*") * 4 / F.lit(3 * tile)), F.ceil(F.sum(F.col("n").cast("long")) / F.lit(TILE_GRAMS))).cast("int")
     counts = survivors.groupBy("block").agg(F.count("*").alias("m"), g.alias("g"))
     small = counts.where("m > 1 and g = 1").select("block")
     whole = survivors.join(small, "block").select("digest", "n", F.concat(F.lit("b"), F.col("block")).alias("unit"), F.lit(0).alias("side"))
@@ -267,8 +268,9 @@ def _units(survivors: DataFrame, telling: DataFrame, percent: int, tile: int) ->
     # classes that share their leading n-gram lie together, so that few tiles share any
     lead = telling.groupBy("digest").agg(F.min("token").alias("lead"))
     dealt = large.join(parts, ["block", "band"]).join(lead, "digest")
-    # a crowded leading n-gram is cut by the classes' own digests, into quarters of tiles so that tiles are even
-    crowd = dealt.groupBy("block", "band", "lead").agg((g * 4 - 3).alias("cuts"))
+    # a crowded leading n-gram is cut by the classes' own digests, into so small parts that tiles stay even
+    parts_of = F.greatest(F.ceil(F.count("*") * 16 / F.lit(tile)), F.ceil(F.sum(F.col("n").cast("long")) * 16 / F.lit(TILE_GRAMS)))
+    crowd = dealt.groupBy("block", "band", "lead").agg(parts_of.alias("cuts"))
     place = F.pmod(F.xxhash64("lead", F.pmod("digest", F.col("cuts"))), F.col("g")).cast("int")
     tiles = dealt.join(crowd, ["block", "band", "lead"]).select("digest", "n", F.struct("block", "band", place.alias("t")).alias("tile"))
     tiles, _ = stored(tiles, "ngram-tiles")
