@@ -46,11 +46,14 @@ def test_like_brute_force(spark, tile):
     assert tuples(ngram_join(frame(spark, rows), tile=tile)) == brute(rows)
 
 
-def test_many_near_copies(spark):
+@pytest.mark.parametrize(("led", "salts"), [(4096, 32), (5, 3)])
+def test_many_near_copies(spark, monkeypatch, led, salts):
     import random
 
     from tests.llm.cases import SYLLABLES, words
 
+    monkeypatch.setattr("tokenforge.llm.ngram_join.LED", led)
+    monkeypatch.setattr("tokenforge.llm.ngram_join.SALTS", salts)
     r = random.Random(1)
     base, rows = words(r, 120), []
     for i in range(300):

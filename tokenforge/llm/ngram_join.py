@@ -39,6 +39,10 @@ TILE = 512
 TILE_GRAMS = 1 << 21
 #: Vertical fragments of a unit of work.
 FRAGMENTS = 4
+#: Parts in which the classes of a crowded block or leading n-gram meet its counts.
+SALTS = 32
+#: Classes of one n-gram that meet its leader in one task, about.
+LED = 4096
 _TURN = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -259,20 +263,22 @@ def _units(survivors: DataFrame, telling: DataFrame, percent: int, tile: int) ->
     """
     # tiles are dealt by hash, so they are planned a quarter smaller than they may be
     g = F.greatest(F.ceil(F.count("*") * 4 / F.lit(3 * tile)), F.ceil(F.sum(F.col("n").cast("long")) / F.lit(TILE_GRAMS))).cast("int")
-    counts = survivors.groupBy("block").agg(F.count("*").alias("m"), g.alias("g"))
-    small = counts.where("m > 1 and g = 1").select("block")
-    whole = survivors.join(small, "block").select("digest", "n", F.concat(F.lit("b"), F.col("block")).alias("unit"), F.lit(0).alias("side"))
+    # what is counted per large group meets its classes in SALTS parts, so no task has a whole group
+    salted = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    large = salted(survivors.groupBy("block").agg(g.alias("g")).where("g > 1").select("block")).withColumn("large", F.lit(True))
+    told = survivors.withColumn("salt", F.pmod("digest", F.lit(SALTS)).cast("int")).join(large, ["block", "salt"], "left")
+    whole = told.where("large is null").select("digest", "n", F.concat(F.lit("b"), F.col("block")).alias("unit"), F.lit(0).alias("side"))
     # sizes of linked sets lie in the same or in neighbouring bands
-    large = survivors.join(counts.where("g > 1").select("block"), "block").withColumn("band", _band(F.col("n"), percent))
-    parts = large.groupBy("block", "band").agg(g.alias("g"))
+    large = told.where("large").drop("large").withColumn("band", _band(F.col("n"), percent))
+    parts = salted(large.groupBy("block", "band").agg(g.alias("g")))
     # classes that share their leading n-gram lie together, so that few tiles share any
     lead = telling.groupBy("digest").agg(F.min("token").alias("lead"))
-    dealt = large.join(parts, ["block", "band"]).join(lead, "digest")
+    dealt, _ = stored(large.join(parts, ["block", "band", "salt"]).join(lead, "digest"), "ngram-dealt")
     # a crowded leading n-gram is cut by the classes' own digests, into so small parts that tiles stay even
     parts_of = F.greatest(F.ceil(F.count("*") * 16 / F.lit(tile)), F.ceil(F.sum(F.col("n").cast("long")) * 16 / F.lit(TILE_GRAMS)))
-    crowd = dealt.groupBy("block", "band", "lead").agg(parts_of.alias("cuts"))
-    place = F.pmod(F.xxhash64("lead", F.pmod("digest", F.col("cuts"))), F.col("g")).cast("int")
-    tiles = dealt.join(crowd, ["block", "band", "lead"]).select("digest", "n", F.struct("block", "band", place.alias("t")).alias("tile"))
+    crowd = salted(dealt.groupBy("block", "band", "lead").agg(parts_of.cast("long").alias("cuts")).where("cuts > 1"))
+    place = F.pmod(F.xxhash64("lead", F.pmod("digest", F.coalesce("cuts", F.lit(1).cast("long")))), F.col("g")).cast("int")
+    tiles = dealt.join(crowd, ["block", "band", "lead", "salt"], "left").select("digest", "n", F.struct("block", "band", place.alias("t")).alias("tile"))
     tiles, _ = stored(tiles, "ngram-tiles")
     held = telling.join(tiles.select("digest", "tile"), "digest").select("token", "tile").distinct()
     other = held.select("token", F.col("tile").alias("tile2"))
@@ -326,12 +332,17 @@ def ngram_join(docs: DataFrame, n: int = 4, percent: int = 85, tile: int = TILE)
     often = own.groupBy("token").agg(F.count("*").alias("often"))
     place = F.row_number().over(Window.partitionBy("digest").orderBy(F.desc("often"), F.desc("token")))
     telling = own.join(often, "token").withColumn("place", place).where(F.col("place") >= least)
-    telling, _ = stored(telling.select("token", "digest", "n"), "ngram-telling")
+    telling, _ = stored(telling.select("token", "digest", "n", F.ceil(F.col("often") / F.lit(LED)).alias("cuts")), "ngram-telling")
     band = _band(F.col("n"), percent)
-    reach = telling.select("token", "digest", F.explode(F.array(band, band + 1)).alias("band"))
-    # the least of each is found by partial aggregates, so a hot n-gram is not one task's
-    leaders = reach.groupBy("token", "band").agg(F.min("digest").alias("leader"), F.max("digest").alias("last")).where("leader < last").drop("last")
-    edges = reach.join(leaders, ["token", "band"]).where("digest <> leader").select(F.col("digest").alias("src"), F.col("leader").alias("dst")).distinct()
+    reach = telling.select("token", "cuts", F.pmod("digest", "cuts").alias("part"), "digest", F.explode(F.array(band, band + 1)).alias("band"))
+
+    def led(members: DataFrame, *key: str) -> DataFrame:
+        leaders = members.groupBy(*key).agg(F.min("digest").alias("leader"), F.max("digest").alias("last")).where("leader < last").drop("last")
+        return members.join(leaders, list(key)).where("digest <> leader").select(F.col("digest").alias("src"), F.col("leader").alias("dst"))
+
+    # a part of a frequent n-gram's classes meets its own leader, then the leaders of parts meet theirs
+    heads = reach.where("cuts > 1").groupBy("token", "band", "part").agg(F.min("digest").alias("digest"))
+    edges = led(reach, "token", "band", "part").unionByName(led(heads, "token", "band")).distinct()
     blocks = components(edges, "ngram-blocks").withColumnsRenamed({"id": "digest", "component": "block"})
     live, _ = stored(classes.select("digest", "n").join(blocks, "digest"), "ngram-live")
     wanted = spark.sparkContext.broadcast(made_filter(live, "digest", live.count()))
