@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once (one longer document is taken alone).
-SLICE = 1 << 19
+SLICE = 1 << 17
 
 _M = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_M, -1, 1 << 64)
