@@ -65,6 +65,28 @@ def test_many_near_copies(spark, monkeypatch, led, salts):
     assert tuples(ngram_join(frame(spark, rows), tile=40)) == want
 
 
+def test_common_passages_make_no_work(spark, monkeypatch):
+    import random
+
+    from tests.llm.cases import words
+    from tokenforge.llm import ngram_join as N
+
+    made, units = [], N._units
+
+    def counted(*args):
+        out = units(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "_units", counted)
+    r = random.Random(5)
+    passage = " ".join(words(r, 40))
+    rows = [(i, " ".join(words(r, 40)) + " " + passage) for i in range(200)]
+    rows += [(200 + i, t + " more") for i, t in rows[:5]]
+    assert tuples(ngram_join(frame(spark, rows), tile=8)) == brute(rows)
+    assert made[0] <= 2 * len(rows)
+
+
 def test_registered_query(spark, sf):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert tuples(op4_ngram_join(spark, sf)) == brute(rows)

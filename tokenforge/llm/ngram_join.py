@@ -7,8 +7,10 @@ another class.  Of those, each leaves out as many of the most frequent as a part
 passages that many documents hold from tying them together.  N-grams that repeat within a batch are known to be shared there; only two of their rows go to the
 common group and the rest are salted, so that a frequent n-gram is dealt to many tasks.
 
-Survivors that share first n-grams and have sizes in reach of each other form blocks.  A block, or a pair of tiles of at
-most TILE classes and TILE_GRAMS n-grams from one (about: tiles are dealt by hash), is a unit of work; only tiles that
+Survivors that share first n-grams and have sizes in reach of each other form blocks.  Passages that many documents hold
+still tie some of them together, so a block of more than one tile is taken apart again by its whole sets: its n-grams
+are ordered by how many sets have them (counted by their low bits), linked sets share one of their n - ceil(t n) + 1 rarest, and classes that
+share one of those form new blocks.  A block, or a pair of tiles of at most TILE classes and TILE_GRAMS n-grams from one (about: tiles are dealt by hash), is a unit of work; only tiles that
 share one of those first n-grams are paired.  A unit's sets are cut along the global order into FRAGMENTS vertical fragments.
 Each fragment counts the partial overlaps of its pairs on its own, the counts are summed per pair, and pairs at or above
 the threshold link.  A unit returns a spanning forest of its links, so that groups of near copies never become pairs.
@@ -22,6 +24,7 @@ empty result; other columns are ignored by the join and kept by :func:`distinct_
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +46,10 @@ FRAGMENTS = 4
 SALTS = 32
 #: Classes of one n-gram that meet its leader in one task, about.
 LED = 4096
+#: Counts of n-grams are kept by so many low bits at most: 16 MB.  More n-grams share counts, and none is lost.
+MOST_COUNTS = 22
+#: Parts of the counts, each a row of its own while they are summed.
+_PARTS = 64
 _TURN = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -256,13 +263,104 @@ def _summed(percent: int):
     return run
 
 
+def _tiles(tile: int) -> Column:
+    """How many tiles the classes of a group take: they are dealt by hash, so they are planned a quarter smaller than they may be."""
+    return F.greatest(F.ceil(F.count("*") * 4 / F.lit(3 * tile)), F.ceil(F.sum(F.col("n").cast("long")) / F.lit(TILE_GRAMS))).cast("int")
+
+
+def _blocks(telling: DataFrame, percent: int, name: str) -> DataFrame:
+    """``(digest, block)``: classes of sizes in reach that share one of ``telling(token, digest, n, cuts)``."""
+    band = _band(F.col("n"), percent)
+    reach = telling.select("token", "cuts", F.pmod("digest", "cuts").alias("part"), "digest", F.explode(F.array(band, band + 1)).alias("band"))
+
+    def led(members: DataFrame, *key: str) -> DataFrame:
+        leaders = members.groupBy(*key).agg(F.min("digest").alias("leader"), F.max("digest").alias("last")).where("leader < last").drop("last")
+        return members.join(leaders, list(key)).where("digest <> leader").select(F.col("digest").alias("src"), F.col("leader").alias("dst"))
+
+    # a part of a frequent n-gram's classes meets its own leader, then the leaders of parts meet theirs
+    heads = reach.where("cuts > 1").groupBy("token", "band", "part").agg(F.min("digest").alias("digest"))
+    edges = led(reach, "token", "band", "part").unionByName(led(heads, "token", "band")).distinct()
+    return components(edges, name).withColumnsRenamed({"id": "digest", "component": "block"})
+
+
+def _counts(sets: DataFrame, bits: int) -> np.ndarray:
+    """How many of the sets ``(grams)`` have n-grams of each ``bits`` low bits, built by all tasks."""
+    size = 1 << bits
+    step = size // _PARTS
+
+    def given(parts: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for k, x in parts.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(x.tobytes(), 1)], pa.binary())], names=["part", "c"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(size, np.int32)
+        for b in batches:
+            grams = np.frombuffer(b"".join(b.column("grams").to_pylist()), np.uint64)
+            own += np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.int32)
+        yield from given({k: x for k, x in enumerate(own.reshape(_PARTS, step)) if x.any()})
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, x in zip(b.column("part").to_pylist(), b.column("c").to_pylist(), strict=True):
+                parts[k] = parts.get(k, 0) + np.frombuffer(zlib.decompress(x), np.int32)
+        yield from given(parts)
+
+    out = np.zeros(size, np.int32)
+    for r in sets.select("grams").mapInArrow(run, "part int, c binary").repartition("part").mapInArrow(joined, "part int, c binary").toLocalIterator():
+        out[r["part"] * step : (r["part"] + 1) * step] += np.frombuffer(zlib.decompress(r["c"]), np.int32)
+    return out
+
+
+_RARE = pa.schema([("token", pa.int64()), ("digest", pa.int64()), ("n", pa.int32())])
+
+
+def _rare(shared, percent: int):
+    """The n-grams of ``(block, digest, n, grams)`` of which linked sets share one at least, but those that no other set has.
+    A token names an n-gram and a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for b in batches:
+            tokens, rows, held = [], [], 0
+            blocks, digests, sizes = (b.column(c).to_numpy() for c in ("block", "digest", "n"))
+            for i, x in enumerate(b.column("grams")):
+                s = np.frombuffer(x.as_py(), np.uint64)
+                often = counts[(s & np.uint64(len(counts) - 1)).astype(np.int64)]
+                # equal counts stay in the order of their hashes, so the order is one for all sets
+                rarest = np.argsort(often, kind="stable")[: len(s) - least_overlap(len(s), percent) + 1]
+                s = s[rarest[often[rarest] > 1]]
+                tokens.append(tk.mix(s + blocks[i : i + 1].view(np.uint64)).view(np.int64))
+                rows.append(np.full(len(s), i))
+                held += len(s)
+                if held > 1 << 16 or i == b.num_rows - 1:
+                    at = np.concatenate(rows)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(digests[at]), pa.array(sizes[at])], schema=_RARE)
+                    tokens, rows, held = [], [], 0
+
+    return run
+
+
+def _rarest(classes: DataFrame, percent: int) -> DataFrame:
+    """``(token, digest, n, cuts)``: the rarest n-grams of ``(block, digest, n, grams)`` that several classes of a block have.
+
+    Counts are by low bits of n-grams: any order that is one for all sets will do, and what is frequent stays so.
+    """
+    spark = classes.sparkSession
+    classes, _ = stored(classes, "ngram-crowded")
+    total = classes.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
+    shared = spark.sparkContext.broadcast(_counts(classes, min(MOST_COUNTS, max(16, total.bit_length()))))
+    rows = classes.mapInArrow(_rare(shared, percent), "token long, digest long, n int")
+    often = F.count("*").over(Window.partitionBy("token"))
+    return rows.withColumn("often", often).where("often > 1").select("token", "digest", "n", F.ceil(F.col("often") / F.lit(LED)).alias("cuts"))
+
+
 def _units(survivors: DataFrame, telling: DataFrame, percent: int, tile: int) -> DataFrame:
     """``(digest, n, unit, side)``: the units of work of each survivor ``(digest, n, block)``.
 
     ``telling(token, digest)``: the n-grams of which linked sets share one at least.
     """
-    # tiles are dealt by hash, so they are planned a quarter smaller than they may be
-    g = F.greatest(F.ceil(F.count("*") * 4 / F.lit(3 * tile)), F.ceil(F.sum(F.col("n").cast("long")) / F.lit(TILE_GRAMS))).cast("int")
+    g = _tiles(tile)
     # what is counted per large group meets its classes in SALTS parts, so no task has a whole group
     salted = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     large = salted(survivors.groupBy("block").agg(g.alias("g")).where("g > 1").select("block")).withColumn("large", F.lit(True))
@@ -333,21 +431,15 @@ def ngram_join(docs: DataFrame, n: int = 4, percent: int = 85, tile: int = TILE)
     place = F.row_number().over(Window.partitionBy("digest").orderBy(F.desc("often"), F.desc("token")))
     telling = own.join(often, "token").withColumn("place", place).where(F.col("place") >= least)
     telling, _ = stored(telling.select("token", "digest", "n", F.ceil(F.col("often") / F.lit(LED)).alias("cuts")), "ngram-telling")
-    band = _band(F.col("n"), percent)
-    reach = telling.select("token", "cuts", F.pmod("digest", "cuts").alias("part"), "digest", F.explode(F.array(band, band + 1)).alias("band"))
-
-    def led(members: DataFrame, *key: str) -> DataFrame:
-        leaders = members.groupBy(*key).agg(F.min("digest").alias("leader"), F.max("digest").alias("last")).where("leader < last").drop("last")
-        return members.join(leaders, list(key)).where("digest <> leader").select(F.col("digest").alias("src"), F.col("leader").alias("dst"))
-
-    # a part of a frequent n-gram's classes meets its own leader, then the leaders of parts meet theirs
-    heads = reach.where("cuts > 1").groupBy("token", "band", "part").agg(F.min("digest").alias("digest"))
-    edges = led(reach, "token", "band", "part").unionByName(led(heads, "token", "band")).distinct()
-    blocks = components(edges, "ngram-blocks").withColumnsRenamed({"id": "digest", "component": "block"})
-    live, _ = stored(classes.select("digest", "n").join(blocks, "digest"), "ngram-live")
+    live, _ = stored(classes.select("digest", "n").join(_blocks(telling, percent, "ngram-blocks"), "digest"), "ngram-live")
     wanted = spark.sparkContext.broadcast(made_filter(live, "digest", live.count()))
     sets = docs.select("text").mapInArrow(_sets(n, wanted), "digest long, grams binary").dropDuplicates(["digest"])
     sets, _ = stored(sets, "ngram-sets")
+    # blocks of more than one tile are taken apart by their rarest n-grams
+    crowded = live.groupBy("block").agg(_tiles(tile).alias("g")).where("g > 1").select("block")
+    telling, _ = stored(_rarest(live.join(crowded, "block").join(sets, "digest").select("block", "digest", "n", "grams"), percent), "ngram-rarest")
+    parted = live.join(crowded, "block").select("digest", "n").join(_blocks(telling, percent, "ngram-parted"), "digest")
+    live, _ = stored(live.join(crowded, "block", "left_anti").select("digest", "n", "block").unionByName(parted), "ngram-parted-live")
     work = _units(live, telling, percent, tile).join(sets, "digest").select("unit", "side", "digest", "n", "grams")
     pieces = work.mapInArrow(_fragments, "unit string, side int, digest long, n int, fragment int, grams binary")
     partial = pieces.repartition("unit", "fragment").sortWithinPartitions("unit", "fragment").mapInArrow(
