@@ -87,6 +87,40 @@ def test_common_passages_make_no_work(spark, monkeypatch):
     assert made[0] <= 2 * len(rows)
 
 
+def test_texts_that_no_class_needs_are_not_cut_again(monkeypatch):
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tokenforge.llm import ngram_join as N
+    from tokenforge.llm.shared import Filter
+
+    rows = [(i, f"the words of text {i % 20} are these and no more") for i in range(40)] + [(None, "a text of its own without a name")]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": [t for _, t in rows]})
+    digests = [N.set_digest(s) for s in N.ngram_sets(batch.column("text"), 4)]
+    wanted, cut, sets = Filter(100), [], N.ngram_sets
+    wanted.add(np.array([digests[3], 3, digests[7], 7, digests[40]], np.int64))
+    monkeypatch.setattr(N, "ngram_sets", lambda column, *a: cut.append(len(column)) or sets(column, *a))
+    out = [d for b in N._sets(4, SimpleNamespace(value=wanted))(iter([batch])) for d in b.column("digest").to_pylist()]
+    assert out == [digests[3], digests[7], digests[40]]
+    assert cut == [3]
+
+
+def test_links_of_nameless_and_repeated_ids(spark):
+    import random
+
+    from tests.llm.cases import words
+
+    r = random.Random(8)
+    rows = []
+    for k in range(6):
+        base = words(r, 80)
+        ids = [None, None, None] if k < 2 else [1, 1, None] if k < 4 else [-(2**63), 2**63 - 1, 0]
+        rows += [(i, " ".join(base[j:])) for j, i in enumerate(ids)]
+    assert tuples(ngram_join(frame(spark, rows))) == brute(rows)
+
+
 def test_registered_query(spark, sf):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert tuples(op4_ngram_join(spark, sf)) == brute(rows)

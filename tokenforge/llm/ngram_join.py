@@ -53,6 +53,14 @@ _PARTS = 64
 _TURN = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values; faster than ``np.unique``, which hashes integers before it sorts them."""
+    x = np.sort(x)
+    keep = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=keep[1:])
+    return x[keep]
+
+
 def ngram_sets(column: pa.Array, n: int, words: np.ndarray = tk.GRAPH) -> Iterator[np.ndarray]:
     """The sorted distinct n-gram hashes of each text."""
     buf, off = tk.flat(column)
@@ -70,7 +78,7 @@ def ngram_sets(column: pa.Array, n: int, words: np.ndarray = tk.GRAPH) -> Iterat
         for i in range(b - a):
             lo, hi = edges[i], edges[i + 1]
             if hi - lo >= n:
-                yield np.unique(grams[lo : hi - n + 1])
+                yield _distinct(grams[lo : hi - n + 1])
             elif hi > lo:
                 short = np.uint64(hi - lo)
                 for k in range(lo, hi):
@@ -148,11 +156,17 @@ def _first(n: int, percent: int):
 
 
 def _sets(n: int, shared):
-    """Sets of classes in the filter, as bytes, once for each batch."""
+    """Sets of classes in the filter, as bytes, once for each batch.
+
+    The filter holds a doc_id of each class too, so only texts of such documents, and those without a doc_id, are cut.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value
         for b in batches:
+            ids = b.column("doc_id").cast(pa.int64())
+            nameless = ids.is_null().to_numpy(zero_copy_only=False)
+            b = b.filter(pa.array(nameless | wanted.has(ids.fill_null(0).to_numpy(zero_copy_only=False))))
             seen: set[int] = set()
             digests, raw, size = [], [], 0
             for s in ngram_sets(b.column("text"), n):
@@ -431,9 +445,11 @@ def ngram_join(docs: DataFrame, n: int = 4, percent: int = 85, tile: int = TILE)
     place = F.row_number().over(Window.partitionBy("digest").orderBy(F.desc("often"), F.desc("token")))
     telling = own.join(often, "token").withColumn("place", place).where(F.col("place") >= least)
     telling, _ = stored(telling.select("token", "digest", "n", F.ceil(F.col("often") / F.lit(LED)).alias("cuts")), "ngram-telling")
-    live, _ = stored(classes.select("digest", "n").join(_blocks(telling, percent, "ngram-blocks"), "digest"), "ngram-live")
-    wanted = spark.sparkContext.broadcast(made_filter(live, "digest", live.count()))
-    sets = docs.select("text").mapInArrow(_sets(n, wanted), "digest long, grams binary").dropDuplicates(["digest"])
+    live, _ = stored(classes.join(_blocks(telling, percent, "ngram-blocks"), "digest"), "ngram-live")
+    # a class of documents with doc_ids has one of its smallest, whatever other texts have that too
+    told = live.select(F.explode(F.array("digest", "least")).alias("value")).where("value is not null")
+    wanted = spark.sparkContext.broadcast(made_filter(told, "value", 2 * live.count()))
+    sets = docs.select("doc_id", "text").mapInArrow(_sets(n, wanted), "digest long, grams binary").dropDuplicates(["digest"])
     sets, _ = stored(sets, "ngram-sets")
     # blocks of more than one tile are taken apart by their rarest n-grams
     crowded = live.groupBy("block").agg(_tiles(tile).alias("g")).where("g > 1").select("block")

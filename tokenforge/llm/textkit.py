@@ -89,9 +89,10 @@ def word_spans(text: np.ndarray, off: np.ndarray, keep: np.ndarray) -> tuple[np.
     if len(cut):
         split = cut[(inside[cut + 1] == 1) & (inside[cut] == 1)]  # a word runs over a row's end
         if len(split):
+            # none of them is a start or an end yet
             split = np.unique(split)
-            starts = np.union1d(starts, split)
-            ends = np.union1d(ends, split)
+            starts = np.sort(np.concatenate((starts, split)), kind="stable")
+            ends = np.sort(np.concatenate((ends, split)), kind="stable")
     rows = np.searchsorted(off, starts, "right") - 1
     return starts, ends, rows
 
