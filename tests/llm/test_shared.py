@@ -2,10 +2,12 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tests.llm.cases import documents
+from tokenforge.llm import shared
 from tokenforge.llm import textkit as tk
-from tokenforge.llm.shared import Filter, made_filter, whole_groups
+from tokenforge.llm.shared import Filter, components, made_filter, whole_groups
 
 
 def test_whole_groups():
@@ -45,3 +47,25 @@ def test_word_hashes_tell_words_apart():
             assert seen.setdefault(h, raw[s:e]) == raw[s:e]
             assert own[r] <= s < e <= own[r + 1]
     assert len(set(seen.values())) == len(seen)
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_components_of_few_edges_need_no_rounds(spark, monkeypatch, kind):
+    r = random.Random(5)
+    path = list(range(-20, 60))
+    r.shuffle(path)
+    pairs = [*zip(path, path[1:], strict=False), *((100, k) for k in range(101, 140)), (200, 200), (None, 100), (300, 301), (301, 300)]
+    name = (lambda x: x) if kind == "long" else (lambda x: None if x is None else f"é{x}")
+    groups = [path, range(100, 140), [300, 301]]
+    want = sorted((name(x), min(map(name, g))) for g in groups for x in g)
+    edges = spark.createDataFrame([(name(a), name(b)) for a, b in pairs], f"src {kind}, dst {kind}")
+    written = []
+    monkeypatch.setattr(shared, "stored", lambda df, name, f=shared.stored: written.append(name) or f(df, name))
+    assert sorted(map(tuple, components(edges).collect())) == want
+    assert len(written) == 1  # before, each round wrote three tables
+    # some rounds first, then one task
+    monkeypatch.setattr(shared, "FEW_EDGES", 20)
+    assert sorted(map(tuple, components(edges).collect())) == want
+    # rounds alone
+    monkeypatch.setattr(shared, "FEW_EDGES", 0)
+    assert sorted(map(tuple, components(edges).collect())) == want

@@ -7,18 +7,54 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..storage import dropped, fresh_path, shared_dir, spread, stored, table, unused
 from .textkit import mix
 
 #: Bits of a filter at most: 256 MB, enough for 180 million values at 12 bits each.  Beyond it more rows pass, and none is lost.
 MOST_BITS = 1 << 31
+#: So few edges are taken by one task: a few MB.  More are contracted by rounds first.
+FEW_EDGES = 1 << 18
 
 __all__ = ["Filter", "components", "dropped", "fresh_path", "made_filter", "shared_dir", "spread", "stored", "table", "unused", "whole_groups"]
 
 
+def _least(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The smallest node of each node's component, of ``n`` nodes and the edges between ``u`` and ``v``."""
+    label = np.arange(n)
+    while True:
+        a, b = label[u], label[v]
+        if (a == b).all():
+            return label
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label != (label := label[label])).any():
+            pass
+
+
+def _all_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, t): the smallest node of each one's component, where ``batches`` are all edges."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    e = pa.Table.from_batches(held)
+    ends = [e.column(c).combine_chunks() for c in ("u", "v")]
+    nodes = pc.unique(pa.chunked_array(ends))
+    nodes = nodes.take(pc.array_sort_indices(nodes))
+    u, v = (pc.index_in(x, nodes).to_numpy() for x in ends)
+    label = _least(len(nodes), u, v)
+    for k in range(0, len(nodes), 1 << 16):
+        yield pa.RecordBatch.from_arrays([nodes[k : k + (1 << 16)], nodes.take(pa.array(label[k : k + (1 << 16)]))], names=["u", "t"])
+
+
+def _plain(kind: T.DataType) -> bool:
+    """Whether Arrow orders the type as Spark does."""
+    return kind in (T.LongType(), T.IntegerType(), T.BinaryType(), T.StringType())
+
+
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of ``edges(src, dst)`` as ``(id, component)`` with the smallest id of each component.
 
@@ -27,7 +63,9 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     Every node points at the neighbour (or itself) that comes first in a hashed order; edges are rewritten to
     those targets and the loops fall away, until no edge is left.  The hashed order contracts long paths by a
     constant factor a round, a star in one.  All steps are joins and partially aggregated groupings; rounds are
-    cut by tables in the shared folder.  Null ends and loops are ignored; no edges give an empty table.
+    cut by tables in the shared folder.  Once FEW_EDGES or fewer are left (of ids that are integers, strings or binary), one
+    task joins them all, as plans and jobs of the last rounds cost the driver far more than their rows.  Null ends and
+    loops are ignored; no edges give an empty table.
     """
     spark = edges.sparkSession
     e, path = stored(
@@ -38,7 +76,15 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
         name,
     )
     labels = lpath = None
-    while not e.isEmpty():
+    plain = _plain(e.schema["u"].dataType)
+    while n := e.count():
+        if plain and n <= FEW_EDGES:
+            kind = e.schema["u"].dataType.simpleString()
+            last = e.coalesce(1).mapInArrow(_all_joined, f"u {kind}, t {kind}")
+            if labels is None:
+                return last.select(F.col("u").alias("id"), F.col("t").alias("component"))
+            labels = labels.join(last, F.col("root") == F.col("u"), "left").select("id", F.coalesce("t", "root").alias("root"))
+            break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         key = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("i"))
         point, ppath = stored(
