@@ -42,3 +42,28 @@ def test_windows_of_small_collection():
     found = {(c, int(i)) for c, who in S.repeated_windows(S.Columns(texts, np.array([70, 70])), 200) for i in who}
     want = {(c, i) for c in range(len(texts[0]) - 199) for i in (0, 1) if texts[0][c : c + 200] == texts[1][c : c + 200]}
     assert want <= found
+
+
+def test_copies_move_their_text_once_a_batch():
+    """Before, each copy that loses bytes was moved with its whole text."""
+    import types
+    import zlib
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tokenforge.llm.shared import Filter
+
+    texts = ["copy " * 4000] * 500 + ["other " * 100, None]
+    heads = S._heads([S.text_digest((t or "").encode()) for t in texts])
+    losing = Filter(2)
+    losing.add(heads[[0, 500]])
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    moved = pa.Table.from_batches(S._texts(types.SimpleNamespace(value=losing))(iter([batch])))
+    assert [zlib.decompress(x).decode() for x in moved.column("text").to_pylist()] == [texts[0], texts[500]]
+    assert moved.nbytes < 10_000 < len(texts[0])
+    spans = [np.array([(0, 200), (300, 500)], np.int64).tobytes()] * 2
+    cut = pa.Table.from_batches(S._cut(iter([pa.RecordBatch.from_arrays([*moved.combine_chunks().to_batches()[0].columns, pa.array(spans)], names=["t", "text", "spans"])])))
+    left = [t.encode()[200:300] + t.encode()[500:] for t in (texts[0], texts[500])]
+    assert cut.column("kept").to_pylist() == [hashlib.sha256(x).hexdigest() for x in left]
+    assert cut.column("n_removed").to_pylist() == [400, 400] and cut.column("n_spans").to_pylist() == [2, 2]

@@ -16,7 +16,7 @@ where its suffix shares ``width`` symbols with a neighbour.
 Grams of more than HOT contexts would be collections that no task should hold.  Their windows are told apart one by one, by
 128 bits of gram and window hash, and counted: a batch sends a window once, and settles its own repeats itself, so a
 passage that very many documents hold is one row a batch for its key.  Equal texts are worked on once.  Texts are only
-moved for documents that lose bytes and for contexts that are compared.
+moved for contexts that are compared and, packed and once a batch, where they lose bytes; documents meet the results.
 
 Texts are told apart by 128-bit digests, equal contexts by 128 bits of gram and context hash.
 
@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import io
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -389,24 +390,43 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([t.take(pa.array(edge)), pa.array(packed, pa.binary())], schema=schema)
 
 
-_LAST = "doc_id long, t binary, n_bytes long, sha string, text string"
+_ROWS = "doc_id long, t binary, n_bytes long, sha string"
+_TEXTS_SCHEMA = pa.schema([("t", pa.binary()), ("text", pa.binary())])
+#: Bytes of packed texts of a batch, about.
+PACKED = 1 << 22
 
 
-def _last(shared):
-    """Documents by digest: with their text where they may lose bytes, else with its hash."""
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents by digest, with the hash of their whole text."""
+    for b in batches:
+        digests, sizes, first = _distinct(b.column("text"))
+        sha = {digests[i]: hashlib.sha256((b.column("text")[i].as_py() or "").encode()).hexdigest() for i in first}
+        yield pa.RecordBatch.from_arrays(
+            [b.column("doc_id"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array([sha[d] for d in digests], pa.string())],
+            names=["doc_id", "t", "n_bytes", "sha"],
+        )
+
+
+def _texts(shared):
+    """The texts that may lose bytes, packed, each once a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         losing = shared.value
         for b in batches:
             column = b.column("text")
-            digests, sizes, _ = _distinct(column)
+            digests, _, first = _distinct(column)
             may = losing.has(_heads(digests)) if digests else np.zeros(0, bool)
-            shas = [None if may[i] else hashlib.sha256((column[i].as_py() or "").encode()).hexdigest() for i in range(len(may))]
-            texts = [(column[i].as_py() or "") if may[i] else None for i in range(len(may))]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(shas, pa.string()), pa.array(texts, pa.string())],
-                names=["doc_id", "t", "n_bytes", "sha", "text"],
-            )
+            names, packed, held = [], [], 0
+            for i in first:
+                if may[i]:
+                    names.append(digests[i])
+                    packed.append(zlib.compress((column[i].as_py() or "").encode(), 1))
+                    held += len(packed[-1])
+                if held > PACKED:
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(packed, pa.binary())], schema=_TEXTS_SCHEMA)
+                    names, packed, held = [], [], 0
+            if names:
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(packed, pa.binary())], schema=_TEXTS_SCHEMA)
 
     return run
 
@@ -420,19 +440,17 @@ def kept_bytes(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What texts lose, by digest, and the hash of what is left."""
     for b in batches:
-        removed, counts, shas, kept = [], [], [], []
-        for sha, text, packed in zip(b.column("sha"), b.column("text"), b.column("spans"), strict=True):
-            spans = np.frombuffer(packed.as_py(), np.int64).reshape(-1, 2).tolist() if packed.is_valid else []
+        removed, counts, shas = [], [], []
+        for text, packed in zip(b.column("text"), b.column("spans"), strict=True):
+            spans = np.frombuffer(packed.as_py(), np.int64).reshape(-1, 2).tolist()
             removed.append(sum(e - s for s, e in spans))
             counts.append(len(spans))
-            if sha.is_valid:
-                shas.append(sha.as_py())
-            else:
-                shas.append(hashlib.sha256(kept_bytes(text.as_py().encode(), spans)).hexdigest())
+            shas.append(hashlib.sha256(kept_bytes(zlib.decompress(text.as_py()), spans)).hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("n_bytes"), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(shas, pa.string())],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+            [b.column("t"), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(shas, pa.string())],
+            names=["t", "n_removed", "n_spans", "kept"],
         )
 
 
@@ -481,9 +499,17 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` for every row of ``docs(doc_id, text)``."""
     spans, _ = stored(repeated_spans(docs, width), "spans")
     losing = docs.sparkSession.sparkContext.broadcast(made_filter(spans.select("t").mapInArrow(_filtered, "t long"), "t", spans.count()))
-    laid = docs.select("doc_id", "text").mapInArrow(_last(losing), _LAST)
-    return laid.join(spans, "t", "left").select("doc_id", "n_bytes", "sha", "text", "spans").mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    texts = docs.select("text").mapInArrow(_texts(losing), "t binary, text binary")
+    cut = texts.join(spans, "t").mapInArrow(_cut, "t binary, n_removed long, n_spans long, kept string")
+    # batches that have a text in common give equal rows
+    cut, _ = stored(cut.dropDuplicates(["t"]), "cut")
+    zero = F.lit(0).cast("long")
+    return docs.select("doc_id", "text").mapInArrow(_rows, _ROWS).join(cut, "t", "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_spans", zero).alias("n_spans"),
+        F.coalesce("kept", "sha").alias("kept_sha256"),
     )
 
 
