@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,7 @@ MOST_BITS = 1 << 31
 #: So few edges are taken by one task: a few MB.  More are contracted by rounds first.
 FEW_EDGES = 1 << 18
 
-__all__ = ["Filter", "components", "dropped", "fresh_path", "made_filter", "shared_dir", "spread", "stored", "table", "unused", "whole_groups"]
+__all__ = ["Filter", "components", "dropped", "fresh_path", "lean", "made_filter", "shared_dir", "spread", "stored", "table", "unused", "whole_groups"]
 
 
 def _least(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -140,6 +142,26 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], most_rows:
         yield pa.Table.from_batches(held)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which the process gives the memory it has freed back to the system.
+
+    A worker waits for its next task with all that its allocators have kept, and tasks take waiting workers in turn, so else
+    each worker of an executor would come to hold the most that any task has needed.
+    """
+
+    @functools.wraps(run)
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+            if trim is not None:
+                trim(0)
+
+    return held
+
+
 class Filter:
     """A Bloom filter of 64-bit values.  Its size is bounded whatever their number; a full one lets more through."""
 

@@ -14,12 +14,16 @@ a file that is read once in sequence, so a task holds a few numbers a context, n
 where its suffix shares ``width`` symbols with a neighbour.
 
 Grams of more than HOT contexts would be collections that no task should hold.  Their windows are told apart one by one, by
-128 bits of gram and window hash, and counted: a batch sends a window once, and settles its own repeats itself, so a
-passage that very many documents hold is one row a batch for its key.  Equal texts are worked on once.  Texts are only
-moved for contexts that are compared and, packed and once a batch, where they lose bytes; documents meet the results.
+128 bits of gram and window hash, and counted: of some half a million of them a batch sends each once and settles the repeats
+itself, so a passage that very many documents hold is a row or a few a batch for its key.  Equal texts are worked on once.  Texts
+are only moved for contexts that are compared and, packed and once a batch, where they lose bytes; documents meet the results.
 
 Texts are told apart by 128-bit digests, equal contexts by 128 bits of gram and context hash.
 
+An executor's memory holds a worker for each Python step of a task beside the heap.  So no stage has two such steps, texts and
+windows of a batch are worked on in pieces (of contexts, a few numbers each are held for the whole batch), and a worker
+gives back what it has freed.
+
 Defined cases: null text is empty; texts of fewer bytes than ``width`` lose nothing; repeated rows are documents of
 their own, so both lose what they share; an empty table gives an empty result; other columns are ignored.
 """
@@ -39,11 +43,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .shared import fresh_path, made_filter, spread, stored, table, whole_groups
+from .shared import fresh_path, lean, made_filter, spread, stored, table, whole_groups
 
 WIDTH, GRAM = 200, 64
 #: Grams with more contexts are counted by windows.
 HOT = 4096
+#: Distinct texts that are copied out of a batch at once, strings that are sent at once, and windows, about, that are sorted at once.
+TEXTS, STRINGS, WINDOWS = 512, 4096, 1 << 19
 _TURN = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -122,14 +128,14 @@ def _distinct(column: pa.Array) -> tuple[list[bytes], list[int], list[int]]:
 def _contexts(column: pa.Array, first: list[int], width: int) -> Iterator[tuple]:
     """Contexts of the distinct texts of a batch, a slice at a time: arrays (texts by their row in the batch) and the
     slice's bytes and offsets."""
-    column = column.take(pa.array(first, pa.int64()))
-    names = np.array(first, np.int64)
-    buf, off = tk.flat(column)
-    for a, b in tk.slices(off):
-        text, own = buf[off[a] : off[b]], off[a : b + 1] - off[a]
-        h, c, lo, hi, at = anchors(text, own, width)
-        row = np.searchsorted(own, lo, "right") - 1
-        yield h.view(np.int64), c.view(np.int64), names[a + row], lo - own[row], hi - own[row], at - own[row], text, own[row]
+    for s in range(0, len(first), TEXTS):
+        names = np.array(first[s : s + TEXTS], np.int64)
+        buf, off = tk.flat(column.take(pa.array(names)))
+        for a, b in tk.slices(off):
+            text, own = buf[off[a] : off[b]], off[a : b + 1] - off[a]
+            h, c, lo, hi, at = anchors(text, own, width)
+            row = np.searchsorted(own, lo, "right") - 1
+            yield h.view(np.int64), c.view(np.int64), names[a + row], lo - own[row], hi - own[row], at - own[row], text, own[row]
 
 
 _FIRST = "h long, salt int, c long, t binary, place long, flag int"
@@ -147,15 +153,43 @@ def _first_rows(h, salt, c, names: pa.Array, t, place, flag) -> Iterator[pa.Reco
         )
 
 
+def _window_rows(parts: list[tuple[np.ndarray, ...]], names: pa.Array, heads: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Each of these windows once (SAME where it is here again), and stretches of the others."""
+    h, c, t, start = (np.concatenate(x) for x in zip(*parts, strict=True))
+    parts.clear()
+    order = np.lexsort((c, h))
+    h, c, t, start = h[order], c[order], t[order], start[order]
+    new = np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))
+    last = np.concatenate((new[1:], [True]))
+    one = np.flatnonzero(new)
+    yield from _first_rows(h[one], np.zeros(len(one)), c[one], names, t[one], start[one] << 8, np.where(last[one], 0, SAME))
+    again = np.flatnonzero(~new)
+    if len(again):
+        again = again[np.lexsort((start[again], t[again]))]
+        t, start = t[again], start[again]
+        run = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (start[1:] != start[:-1] + 1))))
+        # a stretch is at most 200 windows long, as its place has eight bits for that
+        long = np.diff(np.concatenate((run, [len(t)])))
+        cuts = -(-long // 200)
+        at = np.repeat(run, cuts) + 200 * (np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts))
+        size = np.diff(np.concatenate((at, [len(t)])))
+        zero = np.zeros(len(at), np.int64)
+        own = tk.mix(heads[t[at]].view(np.uint64) + start[at].astype(np.uint64)).view(np.int64)
+        yield from _first_rows(own, zero + 1, zero, names, t[at], start[at] << 8 | size - 1, zero + SAME)
+
+
 def _windows(shared, width: int):
-    """The windows of hot grams, each once a batch (SAME where the batch has it again), and stretches of the others."""
+    """The windows of hot grams, each once for about WINDOWS of a batch, as :func:`_window_rows` gives them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, hot = shared.value
         for b in batches:
             column = b.column("text")
             digests, _, first = _distinct(column)
-            parts = []
+            if not digests:
+                continue
+            names, heads = pa.array(digests, pa.binary()), _heads(digests)
+            parts, held = [], 0
             for h, _, t, lo, hi, _, text, base in _contexts(column, first, width):
                 at = np.flatnonzero(hot.has(h)) if len(h) else np.zeros(0, np.int64)
                 if not len(at):
@@ -169,29 +203,12 @@ def _windows(shared, width: int):
                 for k, q in enumerate([*range(0, width - GRAM, GRAM), width - GRAM]):
                     c += tk.mix(grams[p + q] + _TURN[k % len(_TURN)]) * _TURN[k % len(_TURN)]
                 parts.append((h[own], tk.mix(c).view(np.int64), t[own], start))
-            if not parts:
-                continue
-            names, heads = pa.array(digests, pa.binary()), _heads(digests)
-            h, c, t, start = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((c, h))
-            h, c, t, start = h[order], c[order], t[order], start[order]
-            new = np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))
-            last = np.concatenate((new[1:], [True]))
-            one = np.flatnonzero(new)
-            yield from _first_rows(h[one], np.zeros(len(one)), c[one], names, t[one], start[one] << 8, np.where(last[one], 0, SAME))
-            again = np.flatnonzero(~new)
-            if len(again):
-                again = again[np.lexsort((start[again], t[again]))]
-                t, start = t[again], start[again]
-                run = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (start[1:] != start[:-1] + 1))))
-                # a stretch is at most 200 windows long, as its place has eight bits for that
-                long = np.diff(np.concatenate((run, [len(t)])))
-                cuts = -(-long // 200)
-                at = np.repeat(run, cuts) + 200 * (np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts))
-                size = np.diff(np.concatenate((at, [len(t)])))
-                zero = np.zeros(len(at), np.int64)
-                own = tk.mix(heads[t[at]].view(np.uint64) + start[at].astype(np.uint64)).view(np.int64)
-                yield from _first_rows(own, zero + 1, zero, names, t[at], start[at] << 8 | size - 1, zero + SAME)
+                held += len(own)
+                if held >= WINDOWS:
+                    yield from _window_rows(parts, names, heads)
+                    held = 0
+            if parts:
+                yield from _window_rows(parts, names, heads)
 
     return run
 
@@ -215,6 +232,7 @@ def _first(width: int):
             if not parts:
                 continue
             h, c, t, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+            del parts
             order = np.lexsort((c, h))
             h, c, t, place = h[order], c[order], t[order], place[order]
             new_h = np.concatenate(([True], h[1:] != h[:-1]))
@@ -244,22 +262,32 @@ def _strings(shared, width: int):
         for b in batches:
             column = b.column("text")
             digests, _, first = _distinct(column)
-            seen: set[tuple[int, int]] = set()
-            rows: list[tuple] = []
-            for h, c, t, lo, hi, at, text, base in _contexts(column, first, width):
+            parts = []
+            for h, c, t, lo, hi, at, *_ in _contexts(column, first, width):
                 told = wanted.has(h)
                 if hot is not None:
                     told &= ~hot.has(h)
-                for i in np.flatnonzero(told):
-                    x, y = int(h[i]), int(c[i])
-                    if (x, y) not in seen:
-                        seen.add((x, y))
-                        rows.append((x, digests[t[i]], int(lo[i]), int(at[i] - lo[i]), text[base[i] + lo[i] : base[i] + hi[i] + width].tobytes()))
-                if len(rows) > 20_000:
-                    yield pa.RecordBatch.from_pydict(dict(zip(_STRINGS_SCHEMA.names, zip(*rows, strict=True), strict=True)), schema=_STRINGS_SCHEMA)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_pydict(dict(zip(_STRINGS_SCHEMA.names, zip(*rows, strict=True), strict=True)), schema=_STRINGS_SCHEMA)
+                parts.append([x[told] for x in (h, c, t, lo, hi, at)])
+            if not parts:
+                continue
+            h, c, t, lo, hi, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+            del parts
+            order = np.lexsort((c, h))
+            new = np.concatenate(([True], (h[order[1:]] != h[order[:-1]]) | (c[order[1:]] != c[order[:-1]])))[: len(h)]
+            one = np.sort(order[new])
+            for s in range(0, len(one), STRINGS):
+                part = one[s : s + STRINGS]
+                texts = [column[i].as_buffer()[a:b].to_pybytes() for i, a, b in zip(t[part].tolist(), lo[part].tolist(), (hi[part] + width).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(h[part]),
+                        pa.array([digests[i] for i in t[part].tolist()], pa.binary()),
+                        pa.array(lo[part]),
+                        pa.array((at - lo)[part], pa.int32()),
+                        pa.array(texts, pa.binary()),
+                    ],
+                    schema=_STRINGS_SCHEMA,
+                )
 
     return run
 
@@ -379,7 +407,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The spans of each text as one packed row, from rows grouped by ``t``."""
-    schema = pa.schema([("t", pa.binary()), ("spans", pa.binary())])
+    schema = pa.schema([("t", pa.binary()), ("head", pa.int64()), ("spans", pa.binary())])
     for table_ in whole_groups(batches, ["t"]):
         t = table_.column("t").combine_chunks()
         s, e = (table_.column(c).to_numpy() for c in ("start", "stop"))
@@ -387,7 +415,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge = np.flatnonzero(np.concatenate(([True], (halves[1:] != halves[:-1]).any(1))))
         stop = np.concatenate((edge[1:], [len(t)]))
         packed = [np.array(merged(list(zip(s[a:b].tolist(), e[a:b].tolist(), strict=True))), np.int64).tobytes() for a, b in zip(edge, stop, strict=True)]
-        yield pa.RecordBatch.from_arrays([t.take(pa.array(edge)), pa.array(packed, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([t.take(pa.array(edge)), pa.array(halves[edge, 0]), pa.array(packed, pa.binary())], schema=schema)
 
 
 _ROWS = "doc_id long, t binary, n_bytes long, sha string"
@@ -455,9 +483,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``(t, spans)``: by text digest, the maximal stretches of ``docs(text)`` that repeat, as packed pairs of int64."""
+    """``(t, head, spans)``: by text digest (and its first 64 bits), the maximal stretches of ``docs(text)`` that repeat, as
+    packed pairs of int64."""
     spark = docs.sparkSession
-    first = docs.select("text").mapInArrow(_first(width), _FIRST)
+    first = docs.select("text").mapInArrow(lean(_first(width)), _FIRST)
     by_gram, by_context = Window.partitionBy("h", "salt"), Window.partitionBy("h", "salt", "c")
     doc = F.col("flag") == DOC
     known = (
@@ -479,32 +508,27 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     shared = spark.sparkContext.broadcast((made_filter(grams, "h", grams.count()), made_filter(hot, "h", n_hot) if n_hot else None))
     folder = fresh_path(spark, "columns")
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-    strings = docs.select("text").mapInArrow(_strings(shared, width), _STRINGS)
-    found = strings.repartition("h").sortWithinPartitions("h").mapInArrow(_repeats(width, folder), "t binary, start long, stop long")
+    strings = docs.select("text").mapInArrow(lean(_strings(shared, width)), _STRINGS)
+    found = strings.repartition("h").sortWithinPartitions("h").mapInArrow(lean(_repeats(width, folder)), "t binary, start long, stop long")
     every = whole.unionByName(same).unionByName(found)
     if n_hot:
-        windows = docs.select("text").mapInArrow(_windows(shared, width), _FIRST).withColumn("times", F.count("*").over(by_context))
+        windows = docs.select("text").mapInArrow(lean(_windows(shared, width)), _FIRST).withColumn("times", F.count("*").over(by_context))
         again = windows.where((F.col("flag") == SAME) | (F.col("salt") == 0) & (F.col("times") > 1))
         every = every.unionByName(again.select("t", start.alias("start"), (start + F.col("place").bitwiseAND(255) + width).alias("stop")))
-    return every.repartition("t").sortWithinPartitions("t").mapInArrow(_joined, "t binary, spans binary")
-
-
-def _filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if b.num_rows:
-            yield pa.RecordBatch.from_arrays([pa.array(_heads(b.column("t")))], names=["t"])
+    return every.repartition("t").sortWithinPartitions("t").mapInArrow(lean(_joined), "t binary, head long, spans binary")
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` for every row of ``docs(doc_id, text)``."""
     spans, _ = stored(repeated_spans(docs, width), "spans")
-    losing = docs.sparkSession.sparkContext.broadcast(made_filter(spans.select("t").mapInArrow(_filtered, "t long"), "t", spans.count()))
-    texts = docs.select("text").mapInArrow(_texts(losing), "t binary, text binary")
-    cut = texts.join(spans, "t").mapInArrow(_cut, "t binary, n_removed long, n_spans long, kept string")
+    losing = docs.sparkSession.sparkContext.broadcast(made_filter(spans, "head", spans.count()))
+    texts = docs.select("text").mapInArrow(lean(_texts(losing)), "t binary, text binary")
+    # a broadcast would put both Python steps into one stage
+    cut = texts.join(spans.select("t", "spans").hint("merge"), "t").mapInArrow(lean(_cut), "t binary, n_removed long, n_spans long, kept string")
     # batches that have a text in common give equal rows
     cut, _ = stored(cut.dropDuplicates(["t"]), "cut")
     zero = F.lit(0).cast("long")
-    return docs.select("doc_id", "text").mapInArrow(_rows, _ROWS).join(cut, "t", "left").select(
+    return docs.select("doc_id", "text").mapInArrow(lean(_rows), _ROWS).join(cut, "t", "left").select(
         "doc_id",
         "n_bytes",
         F.coalesce("n_removed", zero).alias("n_removed"),
