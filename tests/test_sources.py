@@ -302,3 +302,22 @@ def test_streams(spark, tmp_path):
     rows = stream_lines(spark, str(folder)).select(F.lit("k").alias("key"), F.col("content").alias("value"), F.length("content").cast("long").alias("seq"))
     stream_upserts(rows, store, 0, str(tmp_path / "ck2")).awaitTermination()
     assert [tuple(r) for r in store.read(0).collect()] in ([("k", '{"text":"ab"}')], [("k", '{"text":"dd"}')])
+
+
+@pytest.mark.parametrize("pages", [7, 10_000])
+def test_embedded_database_by_way_of_the_driver(spark, monkeypatch, pages):
+    """On a cluster: no task reaches the database, so all rows go through the driver."""
+    from tokenforge.sinks import jdbc as sinks
+    from tokenforge.sources import jdbc as sources
+
+    monkeypatch.setattr(sources, "at_hand", lambda *_: False)
+    monkeypatch.setattr(sinks, "at_hand", lambda *_: False)
+    spec = Jdbc(f"jdbc:derby:memory:far{pages};create=true", "T", "org.apache.derby.iapi.jdbc.AutoloadedDriver", fetch=pages, batch=pages)
+    rows = spark.range(20).selectExpr("id AS A", "IF(id % 3 = 0, NULL, CONCAT('x', id)) AS B", "CAST(id / 4 AS DECIMAL(6, 2)) AS C", "id % 2 = 0 AS D", "TIMESTAMP '2024-01-02 03:04:05' AS E", "id / 3 AS F")
+    sink(rows, spec)
+    sink(rows.where("A < 2"), spec)
+    back = source(spark, spec)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, [*rows.collect(), *rows.where("A < 2").collect()]), key=str)
+    sink(rows.where("A < 0").select("A"), Jdbc(spec.url, "VACANT", spec.driver))
+    assert source(spark, Jdbc(spec.url, "VACANT", spec.driver)).count() == 0
+    assert spec.embedded and not Jdbc("jdbc:derby://host:1527/x", "T").embedded and not Jdbc("jdbc:postgresql://host/x", "T").embedded
