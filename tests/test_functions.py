@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tokenforge.errors import ConfigError
 from tokenforge.functions import bpe, json, primes, softlabel, text
+from tokenforge.plans import protein
 
 
 def one(spark, value, f, kind="string"):
@@ -214,3 +215,13 @@ def test_settings(tmp_path):
         load_toml(str(p), KeyValue)
     with pytest.raises(ConfigError):
         load_toml(str(tmp_path / "none.toml"))
+
+
+def test_tasks_of_vectors_do_not_grow_with_the_table(spark):
+    """A task takes a share of the documents, however few splits or cores there are; also behind a shuffle."""
+    docs = spark.range(0, 1 << 16, 1, 4).select(F.concat(F.lit('{"softlabel_seq":[{"A":1}],"n":'), "id", F.lit("}")).alias("value"))
+    few = protein.vectors(docs.where("value is null or value > ''"))
+    many = protein.vectors(docs.unionAll(docs).unionAll(docs).unionAll(docs))
+    assert few.rdd.getNumPartitions() >= 12 and many.rdd.getNumPartitions() >= 3 * few.rdd.getNumPartitions()
+    assert protein.vectors(docs.distinct()).rdd.getNumPartitions() >= 12
+    assert few.count() == 1 << 16 and many.count() == 1 << 18
