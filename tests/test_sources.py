@@ -321,3 +321,22 @@ def test_embedded_database_by_way_of_the_driver(spark, monkeypatch, pages):
     sink(rows.where("A < 0").select("A"), Jdbc(spec.url, "VACANT", spec.driver))
     assert source(spark, Jdbc(spec.url, "VACANT", spec.driver)).count() == 0
     assert spec.embedded and not Jdbc("jdbc:derby://host:1527/x", "T").embedded and not Jdbc("jdbc:postgresql://host/x", "T").embedded
+
+
+def test_tasks_and_batches_of_token_files_are_bounded_in_bytes(spark, tmp_path, monkeypatch):
+    """Few long lines are as many tasks as many short ones; each line is in one of them."""
+    from tokenforge.sources import tokenfile
+
+    spec = TokenFile(str(tmp_path), "b", unit=TokenUnit.U8)
+    sizes = [0, 3000, 10, 10, 0, 900, 5000, 1, 1, 700, 700, 700]
+    write_tokens(spark.createDataFrame([(bytearray([k] * n),) for k, n in enumerate(sizes)], "tokens binary").coalesce(1), spec)
+    monkeypatch.setattr(tokenfile, "BYTES_A_TASK", 1000)
+    monkeypatch.setattr(tokenfile, "BYTES_A_BATCH", 500)
+    reader = tokenfile._Reader({"path": f"{tmp_path}/b_device_0", "unit": "u8"})
+    parts = reader.partitions()
+    assert len(parts) >= 6 and [x for p in parts for x in range(p.start, p.stop)] == list(range(len(sizes)))
+    assert all(p.stop - p.start == 1 or sum(sizes[p.start : p.stop]) <= 1000 for p in parts)
+    batches = [b for p in parts for b in reader.read(p)]
+    assert all(b.num_rows == 1 or len(b.column(3).flatten()) <= 500 for b in batches)
+    assert [(x["line"], x["tokens"]) for b in batches for x in b.to_pylist()] == [(k, [k] * n) for k, n in enumerate(sizes)]
+    assert [(p.start, p.stop) for p in tokenfile._Reader({"path": f"{tmp_path}/b_device_0", "columns": "index"}).partitions()] == [(0, len(sizes))]

@@ -47,6 +47,8 @@ MAGIC = b"MMIDIDX\x00\x00"
 LEGACY_VERSION, VERSION = 1, 2
 LEGACY_CODE = 8
 LINES_A_TASK, LINES_A_BATCH = 200_000, 4096
+#: Bytes of data for a task and for a batch (one longer line is taken alone).
+BYTES_A_TASK, BYTES_A_BATCH = 1 << 24, 1 << 20
 
 
 def storage(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -133,6 +135,25 @@ class _Reader(DataSourceReader):
                     self.high = min(self.high, f.value + isinstance(f, LessThanOrEqual))
             yield f  # Spark checks the rows again
 
+    def _parts(self, fs: pafs.FileSystem, idx: str, head: Header, lo: int, hi: int) -> Iterator[tuple[int, int]]:
+        """Ranges of lines of BYTES_A_TASK bytes at most: where a range holds more, its middle line's offset is looked up, and so on.
+
+        So the driver reads some offsets a task, not the index.
+        """
+        todo = [(lo, hi)]
+        if self.index_only:
+            yield from todo
+            return
+        with fs.open_input_file(idx) as index:
+            at = lambda line: struct.unpack("<Q", index.read_at(8, head.size + 4 * head.lines + 8 * line))[0]
+            while todo:
+                lo, hi = todo.pop()
+                if hi - lo > 1 and at(hi) - at(lo) > BYTES_A_TASK:
+                    middle = (lo + hi) // 2
+                    todo += [(middle, hi), (lo, middle)]
+                else:
+                    yield lo, hi
+
     def partitions(self) -> list[InputPartition]:
         out: list[InputPartition] = []
         for path in self.paths:
@@ -141,8 +162,9 @@ class _Reader(DataSourceReader):
                 head = Header.parse(f.read(38))
             if self.expect and head.unit is not self.expect or self.units and head.units != self.units:
                 raise ConfigError(f"{path} holds {head.units} x {head.unit.name} a token")
-            for lo in range(max(0, self.low), min(head.lines, self.high), self.lines):
-                out.append(_Range(path, lo, min(lo + self.lines, head.lines, self.high), head, lo))
+            for first in range(max(0, self.low), min(head.lines, self.high), self.lines):
+                for lo, hi in self._parts(fs, base, head, first, min(first + self.lines, head.lines, self.high)):
+                    out.append(_Range(path, lo, hi, head, lo))
         return out or [_Range("", 0, 0, Header(TokenUnit.U8, 1, False, 0, 0), 0)]
 
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
@@ -165,13 +187,18 @@ class _Reader(DataSourceReader):
                 if self.index_only:
                     yield pa.RecordBatch.from_arrays(known, names=["file", "line", "num_tokens"])
                     continue
-                start, stop = int(offsets[good].min()), int(ends[good].max())
-                raw = body.read_at(stop - start, start)
-                parts = [np.frombuffer(raw[offsets[i] - start : ends[i] - start], head.unit.dtype) for i in good]
-                flat = np.concatenate(parts).astype(kind.to_pandas_dtype())
-                edges = np.concatenate(([0], np.cumsum(counts[good] * head.units)))
-                tokens = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat, kind))
-                yield pa.RecordBatch.from_arrays([*known, tokens], names=["file", "line", "num_tokens", "tokens"])
+                sums, a = np.cumsum(ends[good] - offsets[good]), 0
+                while a < len(good):
+                    b = max(a + 1, int(np.searchsorted(sums, (sums[a - 1] if a else 0) + BYTES_A_BATCH, "right")))
+                    some = good[a:b]
+                    start, stop = int(offsets[some].min()), int(ends[some].max())
+                    raw = body.read_at(stop - start, start)
+                    parts = [np.frombuffer(raw[offsets[i] - start : ends[i] - start], head.unit.dtype) for i in some]
+                    flat = np.concatenate(parts).astype(kind.to_pandas_dtype())
+                    edges = np.concatenate(([0], np.cumsum(counts[some] * head.units)))
+                    tokens = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat, kind))
+                    yield pa.RecordBatch.from_arrays([*(x.slice(a, b - a) for x in known), tokens], names=["file", "line", "num_tokens", "tokens"])
+                    a = b
 
 
 class _Shard(WriterCommitMessage):
