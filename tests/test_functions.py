@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,3 +227,40 @@ def test_tasks_of_vectors_do_not_grow_with_the_table(spark):
     assert few.rdd.getNumPartitions() >= 12 and many.rdd.getNumPartitions() >= 3 * few.rdd.getNumPartitions()
     assert protein.vectors(docs.distinct()).rdd.getNumPartitions() >= 12
     assert few.count() == 1 << 16 and many.count() == 1 << 18
+
+
+def test_slices():
+    from tokenforge.functions.slices import slices
+
+    texts = pa.array(["é" * 3, None, "", "x" * 50, "a", "b", "c"])
+    assert [p.to_pylist() for p in slices(texts, 7)] == [["é" * 3, None, ""], ["x" * 50], ["a", "b", "c"]]
+    assert [p.to_pylist() for p in slices(pa.array([[1], [2], None, [3, 4, 5]], pa.list_(pa.int32())), 8)] == [[[1], [2], None], [[3, 4, 5]]]
+    assert [len(p) for p in slices(texts.slice(0, 0), 7)] == [0]
+
+
+def test_workers_hold_a_slice_of_a_batch_at_a_time(spark):
+    """Batches are as long as Spark makes them; what is made of them is not."""
+    from tokenforge.functions.slices import SLICE
+
+    v = bpe.byte_vocabulary(["the"])
+    texts = pa.array(["over the hill " * 2000, None, "", "é"] * 40)
+    ids = list(bpe.encoder(spark, v).func(iter([texts])))
+    assert len(ids) > 3 and max(len(p.values) for p in ids) <= SLICE + 4 * 40
+    assert [x for p in ids for x in p.to_pylist()] == [None if t is None else v.encode(t.encode()) for t in texts.to_pylist()]
+    back = list(bpe.decoder(spark, v).func(iter([pa.concat_arrays(ids)])))
+    assert len(back) > 3 and [x for p in back for x in p.to_pylist()] == [None if t is None else t + "\0" for t in texts.to_pylist()]
+    lines = pa.array(['{"text":"' + "x" * 30_000 + '"}', "[1]", None] * 40)
+    strict = list(json.strict_text.func(iter([lines])))
+    assert len(strict) > 3 and [x for p in strict for x in p.to_pylist()] == ["x" * 30_000, None, None] * 40
+
+
+def test_encode_all_is_like_encode():
+    draw = random.Random(7)
+    for _ in range(60):
+        signs = bytes(draw.sample(range(256), draw.choice([2, 3, 8])))
+        tokens = sorted({bytes(draw.choices(signs, k=draw.randint(1, 6))) for _ in range(draw.randint(0, 20))})
+        v = bpe.Vocabulary([f"{i} b'{''.join(f'\\x{c:02x}' for c in t)}' {len(t)}" for i, t in enumerate(tokens)])
+        texts = [bytes(draw.choices(signs + b"?", [9] * len(signs) + [draw.choice([0, 1])], k=draw.choice([0, 1, 5, 40]))) for _ in range(9)]
+        for end in (True, False):
+            ids, sizes = v.encode_all(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts]), end)
+            assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [v.encode(t, end) for t in texts]

@@ -6,11 +6,13 @@ import json
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .slices import slices
+
 
 def allow_duplicate_keys(spark: SparkSession) -> None:
     """Let the last of equal keys win in untyped parsing, as JSON libraries do."""
@@ -47,15 +49,16 @@ def _strict_text(line: str | None) -> str | None:
     return found[0]
 
 
-@F.pandas_udf(T.StringType())
-def strict_text(lines: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(T.StringType())
+def strict_text(lines: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """``text`` of ``{"text": "..."}`` or ``["..."]``.
 
     NULL where it is missing, not a string, doubled or holds half a surrogate pair, and where the line is not one JSON value
     from end to end.
     """
-    for s in lines:
-        yield pd.Series([_strict_text(x) for x in s], dtype=object)
+    for column in lines:
+        for part in slices(column):
+            yield pa.array([_strict_text(x) for x in part.to_pylist()], pa.string())
 
 
 def text_field(line: Column) -> Column:
